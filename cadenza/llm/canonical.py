@@ -43,7 +43,7 @@ _DROPPED = re.compile(f"[{INVISIBLE}]")
 _FORMS = re.compile(f"[{WIDE}{LIGATURES}]")
 _SPACE = re.compile(f"[{SPACES}]")
 _HYPHEN = re.compile(f"[{HYPHENS}]")
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036F])*")
 # Scripts that write with joiners, by the start of their characters' names.
 _JOINING = ("ARABIC", "SYRIAC", "DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM", "SINHALA", "MONGOLIAN", "KHMER", "MYANMAR", "TIBETAN")
 
@@ -70,17 +70,19 @@ def _joiner_stays(text: str, i: int) -> bool:
 
 def _one_script(m: re.Match) -> str:
     word = m[0]
-    scripts = {_script(c) for c in word}
+    if unicodedata.normalize("NFC", word).isascii():
+        return word
+    scripts = {_script(c) for c in word if not unicodedata.combining(c)}
     if scripts == {"L"}:
         # A phonetic letter among plain ones.
         return "".join(PHONETIC.get(c, c) for c in word) if any(c in PHONETIC for c in word) and any(c.isascii() for c in word) else word
     if "L" not in scripts and not {"C", "G"} <= scripts:
         return word
-    if all(_script(c) == "L" or c in LATIN for c in word) and "L" in scripts:
+    if all(_script(c) == "L" or c in LATIN or unicodedata.combining(c) for c in word) and "L" in scripts:
         return "".join(LATIN.get(c, c) for c in word)
     for script, table in (("C", TO_CYRILLIC), ("G", TO_GREEK)):
-        if script in scripts and all(_script(c) == script or c in table for c in word):
-            return "".join(c if _script(c) == script else table[c] for c in word)
+        if script in scripts and all(_script(c) == script or c in table or unicodedata.combining(c) for c in word):
+            return "".join(c if _script(c) == script else table.get(c, c) for c in word)
     return word
 
 
@@ -92,13 +94,12 @@ def canonical_segment(s: str) -> str:
     s = _SPACE.sub(" ", s)
     s = _HYPHEN.sub("-", s)
     s = _FORMS.sub(lambda m: unicodedata.normalize("NFKC", m[0]), s)
-    if not unicodedata.is_normalized("NFC", s):
-        s = unicodedata.normalize("NFC", s)
-    return _WORD.sub(_one_script, s)
+    s = _WORD.sub(_one_script, s)  # before composing, as an accent may follow a look-alike letter
+    return s if unicodedata.is_normalized("NFC", s) else unicodedata.normalize("NFC", s)
 
 
 def canonical(text: str | None) -> str | None:
-    """The whole text with its unstable segments replaced. A segment takes in the plain blank before a combining accent."""
+    """The whole text with its unstable segments replaced."""
     if text is None or not _MAYBE.search(text):
         return text
     return _SEGMENT.sub(lambda m: canonical_segment(m[0]) if _MAYBE.search(m[0]) else m[0], text)
