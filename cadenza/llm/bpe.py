@@ -23,7 +23,7 @@ DEFAULT_VOCABULARY = os.environ.get("CADENZA_TOKENIZERS", "/opt/tokenizers") + "
 # Fixed value: the published pattern that splits text before the merges; (?U) gives \s its Unicode meaning.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BUCKETS = 16_384
-HOT_WORDS = 8_192  # at most so many distinct words are collected, each of at most HOT_BYTES
+HOT_WORDS = 32_768  # at most so many distinct words are collected, each of at most HOT_BYTES
 HOT_BYTES = 64
 LONG = 512
 NONE = 2**31 - 1
@@ -147,16 +147,14 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     return df.select(F.explode(split_words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _crc(word: bytes) -> int:
-    import zlib
+def _place(word: Column) -> Column:
+    return F.pmod(F.hash(word), F.lit(BUCKETS))
 
-    return zlib.crc32(word) % BUCKETS
 
-
-def hot_words(df: DataFrame, text: str, ids_of: Callable[[Column], Column], k: int = HOT_WORDS) -> list[tuple[str, list[int]]]:
-    """The k most frequent words of the corpus with their ids: a cache of bounded size, on which no result depends."""
+def hot_words(df: DataFrame, text: str, ids_of: Callable[[Column], Column], k: int = HOT_WORDS) -> list[tuple[int, str, list[int]]]:
+    """(bucket, word, ids) of the k most frequent words of the corpus: a cache of bounded size, on which no result depends."""
     top = word_counts(df, text).where((F.octet_length("word") <= HOT_BYTES) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(k)
-    return [(r.word, r.ids) for r in top.select("word", ids_of(F.col("word")).alias("ids")).collect()]
+    return [(r.at, r.word, r.ids) for r in top.repartition("word").select(_place(F.col("word")).alias("at"), "word", ids_of(F.col("word")).alias("ids")).collect()]
 
 
 def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, out: str = "ids") -> DataFrame:
@@ -166,14 +164,13 @@ def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, o
     ids_of = _fold(vocabulary)
     words: list[list[str]] = [[] for _ in range(BUCKETS)]
     ids: list[list[list[int]]] = [[] for _ in range(BUCKETS)]
-    for w, i in hot_words(df, text, ids_of):
-        words[_crc(w.encode())].append(w)
-        ids[_crc(w.encode())].append(i)
+    for at, word, word_ids in hot_words(df, text, ids_of):
+        words[at].append(word)
+        ids[at].append(word_ids)
     word_map, id_map = _literal(words, "array<array<string>>"), _literal(ids, "array<array<array<int>>>")
 
     def hot(w: Column) -> Column:
-        at = (F.crc32(F.encode(w, "UTF-8")) % BUCKETS).cast("int")
-        return F.get(F.get(id_map, at), (F.array_position(F.get(word_map, at), w) - 1).cast("int"))
+        return F.get(F.get(id_map, _place(w)), (F.array_position(F.get(word_map, _place(w)), w) - 1).cast("int"))
 
     split = df.select(F.col(key), split_words(F.col(text)).alias("_w"))
     rare = split.select("*", F.filter(F.array_distinct("_w"), lambda w: hot(w).isNull()).alias("_rare"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import canonical, multiset
+from cadenza.llm import bpe, canonical, multiset
 from cadenza.tables import load
 
 EVENT_FIELDS = ("venue_id", "start_date", "title")
@@ -38,7 +38,11 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     return events.unionByName(multiset.groups(_raw_events(spark, d), "raw_id", EVENT_FIELDS).select(F.lit("raw_items").alias("table_name"), "first_id", "copies"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(load(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids}
 
 _NORM = r"lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+|[\x{{FE00}}-\x{{FE0F}}\x{{200B}}-\x{{200D}}]', '', 'g'))"
 _RECORDS = f"""
