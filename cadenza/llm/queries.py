@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, canonical, multiset
+from cadenza.llm import bpe, canonical, leakage, multiset
 from cadenza.tables import load
 
 EVENT_FIELDS = ("venue_id", "start_date", "title")
@@ -42,7 +42,19 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(load(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids}
+def p9_matches(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(load(spark, d, "documents"), "doc_id", "text", load(spark, d, "eval_items"), "item_id", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_matches(spark, d).select("doc_id", "item_id")
+
+
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.without_leaks(load(spark, d, "documents"), "doc_id", p9_found(spark, d)).select("doc_id")
+
+
+QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids, "p9_found": p9_found, "p9_matches": p9_matches, "p9_clean": p9_clean}
 
 _NORM = r"lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+|[\x{{FE00}}-\x{{FE0F}}\x{{200B}}-\x{{200D}}]', '', 'g'))"
 _RECORDS = f"""
