@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, canonical, leakage, multiset
+from cadenza.llm import bpe, canonical, leakage, multiset, reading
 from cadenza.tables import load
 
 EVENT_FIELDS = ("venue_id", "start_date", "title")
@@ -54,7 +54,16 @@ def p9_clean(spark: SparkSession, d: str) -> DataFrame:
     return leakage.without_leaks(load(spark, d, "documents"), "doc_id", p9_found(spark, d)).select("doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids, "p9_found": p9_found, "p9_matches": p9_matches, "p9_clean": p9_clean}
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    documents = load(spark, d, "documents")
+    return reading.levels(documents, "doc_id", "text", reading.train(documents, load(spark, d, "level_labels")))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_levels(spark, d).select("doc_id", "reading_level")
+
+
+QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids, "p9_found": p9_found, "p9_matches": p9_matches, "p9_clean": p9_clean, "p10_found": p10_found, "p10_levels": p10_levels}
 
 _NORM = r"lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+|[\x{{FE00}}-\x{{FE0F}}\x{{200B}}-\x{{200D}}]', '', 'g'))"
 _RECORDS = f"""
