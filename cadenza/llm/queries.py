@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, canonical, leakage, multiset, reading
+from cadenza.llm import bpe, canonical, leakage, multiset, reading, truncation
 from cadenza.tables import load
 
 EVENT_FIELDS = ("venue_id", "start_date", "title")
 TEXTS = (("agenda_events", "row_id", "title"), ("venues", "id", "location_filter"), ("instagram_posts", "row_id", "caption"))
 
 
+def _cut(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_texts(load(spark, d, "agenda_events"), "row_id", "source_url", "title", "title_completed_from", "title_truncated")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _cut(spark, d).where("reason is not null").select(F.col("row").alias("row_id"))
+
+
+def p1_sources(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.by_source(_cut(spark, d)).withColumnRenamed("source", "source_url")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     parts = [load(spark, d, t).where(canonical.unstable(F.col(c))).where(canonical.has_variants(F.col(c))).select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("row_key")) for t, k, c in TEXTS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -63,7 +75,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_levels(spark, d).select("doc_id", "reading_level")
 
 
-QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids, "p9_found": p9_found, "p9_matches": p9_matches, "p9_clean": p9_clean, "p10_found": p10_found, "p10_levels": p10_levels}
+QUERIES = {"p1_found": p1_found, "p1_sources": p1_sources, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids, "p9_found": p9_found, "p9_matches": p9_matches, "p9_clean": p9_clean, "p10_found": p10_found, "p10_levels": p10_levels}
 
 _NORM = r"lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+|[\x{{FE00}}-\x{{FE0F}}\x{{200B}}-\x{{200D}}]', '', 'g'))"
 _RECORDS = f"""
