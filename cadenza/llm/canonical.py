@@ -36,6 +36,8 @@ ALIKE = r"ɑɡ"
 
 QUICK_CHECK = rf"[{UNSTABLE}{ALIKE}]|\p{{IsLatin}}[\p{{IsCyrillic}}\p{{IsGreek}}]|[\p{{IsCyrillic}}\p{{IsGreek}}]\p{{IsLatin}}"
 
+BEYOND = r"[^\x00-\x7F«»°À-ſ‘-”–—…€]"
+
 _SEGMENT = re.compile(r"[^ \t\r\n]+")
 _MAYBE = re.compile(rf"[{UNSTABLE}{ALIKE}Ͱ-ϿЀ-ԯἀ-῿]")
 _JOINER = re.compile(f"[{JOINERS}]")
@@ -114,7 +116,8 @@ def _udf() -> Callable:
 
 
 def unstable(text: Column) -> Column:
-    return text.rlike(QUICK_CHECK)
+    """The quick check, after a quicker one: texts of nothing but Latin letters and common signs are stable."""
+    return text.rlike(BEYOND) & text.rlike(QUICK_CHECK)
 
 
 def canonical_form(text: Column) -> Column:

@@ -21,6 +21,7 @@ DOTS = r"\s*(?:…|\.{2,})\s*$"
 BROKEN = r"�\s*$|&[A-Za-z#0-9]{0,7}$"
 UNFINISHED = r"(?:[(\[«,:+&/]|\s[-–—])\s*$"
 TOKEN = r"([\p{L}\p{N}]+|\+)"
+MARK_CHARS = 48  # in which a mark is looked for, from the end
 SUPPORT = 5  # word pairs seen less often in different texts say nothing about how texts end
 EVIDENCE = 9  # continuations from which an ending can be open
 OPEN, CLOSED = 0.1, 0.3  # share of the occurrences that end a text: below it is open, from it on closed
@@ -31,30 +32,37 @@ STYLE_OPEN = 0.3  # of a source's dotted texts, for the dots to be its mark of c
 
 
 def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | None, said: str | None) -> DataFrame:
-    raw = F.col(text)
-    mark = (
-        F.when(raw.rlike(EXPLICIT), F.lit("explicit"))
-        .when(raw.rlike(DOTS), F.trim(F.regexp_extract(raw, r"\s*(…|\.{2,})\s*$", 1)))
-        .otherwise("")
-    )
-    stem = F.when(mark == "explicit", F.regexp_replace(raw, EXPLICIT, "")).when(mark != "", F.regexp_replace(raw, DOTS, "")).otherwise(raw)
-    opened = lambda a, b: F.length(stem) - F.length(F.translate(stem, a, "")) > F.length(stem) - F.length(F.translate(stem, b, ""))
-    tokens = F.regexp_extract_all(F.lower(canonical_form(stem)), F.lit(TOKEN), F.lit(1))
-    return (
-        df.where(raw.isNotNull() & (F.trim(raw) != ""))
-        .select(
-            F.col(row).alias("row"),
-            F.col(source).alias("source"),
-            F.length(raw).alias("chars"),
-            F.octet_length(raw).alias("bytes"),
-            mark.alias("mark"),
-            (raw.rlike(BROKEN) | stem.rlike(UNFINISHED) | opened("(", ")") | opened("«", "»")).alias("unfinished"),
-            (F.col(completed).isNotNull() if completed else F.lit(False)).alias("completed"),
-            (F.coalesce(F.col(said), F.lit(False)) if said else F.lit(False)).alias("said"),
-            tokens.alias("tokens"),
-        )
-        .where(F.size("tokens") > 0)
+    """Row keys, lengths, marks and words. Staged, so that each costly expression is evaluated once, and most of them
+    only where a cheap test of the text's end allows a match."""
+    raw, tail, stem = F.col("raw"), F.col("tail"), F.col("stem")
+    marked = tail.contains("…") | tail.contains("..") | tail.contains("&") | tail.contains(">>") | tail.contains("»")
+    explicit = F.regexp_extract(tail, EXPLICIT, 0)
+    first = df.where(F.col(text).rlike(r"[\p{L}\p{N}+]")).select(
+        F.col(row).alias("row"),
+        F.col(source).alias("source"),
+        F.col(text).alias("raw"),
+        F.right(F.col(text), F.lit(MARK_CHARS)).alias("tail"),
+        (F.col(completed).isNotNull() if completed else F.lit(False)).alias("completed"),
+        (F.coalesce(F.col(said), F.lit(False)) if said else F.lit(False)).alias("said"),
     )
+    found = first.withColumn("_explicit", F.when(marked, F.nullif(explicit, F.lit("")))).withColumn("_dots", F.when(marked & F.col("_explicit").isNull(), F.nullif(F.regexp_extract(tail, DOTS, 0), F.lit(""))))
+    cut = found.select(
+        "row", "source", "raw", "tail", "completed", "said",
+        F.when(F.col("_explicit").isNotNull(), F.lit("explicit")).otherwise(F.coalesce(F.btrim("_dots"), F.lit(""))).alias("mark"),
+        F.when(F.coalesce("_explicit", "_dots").isNull(), raw).otherwise(F.left(raw, F.length(raw) - F.length(F.coalesce("_explicit", "_dots")))).alias("stem"),
+    )
+
+    def opened(a: str, b: str) -> Column:
+        return stem.contains(a) & (F.length(F.translate(stem, a, "")) < F.length(F.translate(stem, b, "")))
+
+    broken = (tail.contains("\ufffd") | tail.contains("&")) & tail.rlike(BROKEN)
+    return cut.select(
+        "row", "source", "completed", "said", "mark",
+        F.length(raw).alias("chars"),
+        F.octet_length(raw).alias("bytes"),
+        (broken | F.right(stem, F.lit(4)).rlike(UNFINISHED) | opened("(", ")") | opened("«", "»")).alias("unfinished"),
+        F.regexp_extract_all(F.lower(canonical_form(stem)), F.lit(TOKEN), F.lit(1)).alias("tokens"),
+    )
 
 
 def endings(shaped: DataFrame) -> DataFrame:
