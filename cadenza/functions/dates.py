@@ -94,8 +94,8 @@ def _made(start: Column, end: Column, a: Column, b: Column, inferred: Column, we
 
 
 
-def parse_date(text: Column, today: Column | datetime.date) -> Column:
-    """FN-10. Null, blank and dateless texts give an error. A date that the calendar lacks lets the next notation try in
+def parse_date(text: Column, today: Column | datetime.date, folded: bool = False) -> Column:
+    """FN-10. ``folded`` texts have been through ``fold`` already (needed inside lambdas, where no Python can run). Null, blank and dateless texts give an error. A date that the calendar lacks lets the next notation try in
     ISO, compact and numeric notation, and is an error in the others."""
     now = F.lit(today) if isinstance(today, datetime.date) else today
     no = F.lit(None)
@@ -174,7 +174,8 @@ def parse_date(text: Column, today: Column | datetime.date) -> Column:
     def context(t: Column) -> Column:
         return F.struct(t.alias("t"), times_of(t).alias("times"), F.nullif(F.regexp_extract(t, rf"\b{_WEEKDAY}", 1), F.lit("")).alias("wd"))
 
-    return let(fold(F.coalesce(text, F.lit(""))), lambda t: let(context(t), body)).cast(_RESULT)
+    plain_text = F.coalesce(text, F.lit(""))
+    return let(plain_text if folded else fold(plain_text), lambda t: let(context(t), body)).cast(_RESULT)
 
 
 # The strptime directives that have a pattern letter.
