@@ -58,7 +58,7 @@ def continue_runs(df: DataFrame, known: DataFrame, keys: Sequence[str], pos: str
     for s in same:
         condition = condition & s
     hit = df.join(ranges, condition).groupBy(F.col(pos).alias("_pos")).agg(F.min(F.struct("_from", "_uid")).alias("_hit"))
-    joined = df.join(hit, F.col(pos) == F.col("_pos"), "left").withColumn("_run", F.coalesce(F.col("_hit._uid"), F.concat(F.lit("row:"), F.col(pos).cast("string"))))
+    joined = df.join(hit, F.col(pos) == F.col("_pos"), "left").withColumn("_run", F.coalesce(F.concat(F.lit("run:"), F.col("_hit._uid").cast("string")), F.concat(F.lit("row:"), F.col(pos).cast("string"))))
     by_run = Window.partitionBy("_run").orderBy(pos)
     end = F.max(_last()).over(by_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     continued = F.col("_hit").isNotNull()

@@ -11,6 +11,7 @@ from cadenza.functions.text import clip
 
 ZONE = "Europe/Paris"
 MOST_IMAGES = 4
+LAST_SECOND = 253_402_300_800  # the year 10000
 POST_DAYS, FAILURE_DAYS = 180, 30
 WINDOW_LEAST, WINDOW_MOST = 7, 30
 INTERVAL = {"facebook-events": 7}  # days between two fetches; others 1
@@ -21,7 +22,8 @@ _IG_PATHS = ("p", "reel", "reels", "explore", "stories", "accounts", "tv")
 def coerce_timestamp(value: Column) -> Column:
     """SRC-13: an epoch number or an ISO text, with or without zone (then UTC), as an instant; null if unreadable."""
     text = F.trim(value.cast("string"))
-    epoch = F.timestamp_seconds(text.try_cast("double"))
+    seconds = text.try_cast("double")
+    epoch = F.timestamp_seconds(F.when(F.abs(seconds) < LAST_SECOND, seconds))
     iso = F.regexp_replace(text, "[zZ]$", "+00:00")
     has_zone = iso.rlike(r"[+-]\d{2}:?\d{2}$")
     zoned = F.when(has_zone, iso).otherwise(F.concat(iso, F.when(F.length(iso) == 10, F.lit("T00:00:00+00:00")).otherwise(F.lit("+00:00"))))

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.plans import data_queries
+from cadenza.plans import data_queries, event_queries
 
-_MODULES = (data_queries,)
+_MODULES = (data_queries, event_queries)
 
 
 def flagship(spark: SparkSession, directory: str) -> DataFrame:
-    return data_queries.p2_found(spark, directory)
+    return event_queries.publish_upcoming(spark, directory)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

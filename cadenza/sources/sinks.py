@@ -17,7 +17,7 @@ def escaped(text: Column) -> Column:
     out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     for c in (";", ","):
         out = F.replace(out, F.lit(c), F.lit(f"\\{c}"))
-    return F.regexp_replace(out, r"\r?\n", r"\\\\n")
+    return F.regexp_replace(out, r"\r?\n", r"\\n")
 
 
 def folded(line: Column) -> Column:
