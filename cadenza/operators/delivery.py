@@ -78,7 +78,8 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             covered[fresh[dup]] = True
             kept = np.flatnonzero(~dup)
             if len(kept):
-                starts = kept[~(same[kept] & (num[kept] == prior[kept] + 1))]  # else the number extends the range before it
+                extends = same[kept] & (num[kept] == prior[kept] + 1) & (num[kept] & (2**BLOCK_BITS - 1) != 0)
+                starts = kept[~extends]
                 edges = np.searchsorted(kept, starts)
                 ps, ls, hs, ns = [], [], [], []
                 if producer is not None:
@@ -86,7 +87,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     grown = edges[0] if len(edges) else len(kept)
                     if grown:
                         hs[0], ns[0] = int(num[kept[grown - 1]]), n + int(grown)
-                ends = np.append(edges[1:], len(kept))
+                ends = np.append(edges[1:], len(kept)) if len(edges) else edges
                 for s, e in zip(edges, ends, strict=True):
                     ps.append(words[code[kept[s]]].as_py())
                     ls.append(int(num[kept[s]]))
@@ -146,10 +147,11 @@ def not_seen(df: DataFrame, identifier: str, seen: DataFrame, producer_digits: i
     """Rows whose number no range of ``seen`` covers. Ranges are cut at blocks, so this is an equality join by
     (producer, block) with the bounds as a condition; rows with malformed or null identifiers pass."""
     producer, number = split_identifier(F.col(identifier), producer_digits)
-    rows = df.select("*", producer.alias("_producer"), number.alias("_number"), F.shiftright(number, BLOCK_BITS).alias("_block"))
-    known = seen.select(F.col("producer").alias("_p"), F.shiftright("lo", BLOCK_BITS).alias("_b"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-    inside = (F.col("_producer") == F.col("_p")) & (F.col("_block") == F.col("_b")) & F.col("_number").between(F.col("_lo"), F.col("_hi"))
-    return rows.join(known, inside, "left_anti").drop("_producer", "_number", "_block")
+    names = ("__producer", "__number", "__block")  # unlikely to be the names of columns of df
+    rows = df.withColumns(dict(zip(names, (producer, number, F.shiftright(number, BLOCK_BITS)), strict=True)))
+    known = seen.select(F.col("producer").alias("__seen_producer"), F.shiftright("lo", BLOCK_BITS).alias("__seen_block"), F.col("lo").alias("__seen_lo"), F.col("hi").alias("__seen_hi"))
+    inside = (F.col("__producer") == F.col("__seen_producer")) & (F.col("__block") == F.col("__seen_block")) & F.col("__number").between(F.col("__seen_lo"), F.col("__seen_hi"))
+    return rows.join(known, inside, "left_anti").drop(*names)
 
 
 def merge_seen(a: DataFrame, b: DataFrame) -> DataFrame:

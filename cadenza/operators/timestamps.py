@@ -174,8 +174,10 @@ def instants(df: DataFrame, value: str, zone: str, received: str, out: str = "ut
     without a time of day, give null. Texts over 100 characters are never instants.
     """
     fields = ("kind", "y", "m", "d", "H", "M", "S", "f", "mw", "ap", "zw", "off")
-    raw = F.col(value)
-    step = df.withColumn("_v", F.when(F.length(raw) <= 100, _clean(raw)))
+    raw, zone_name, received_at = F.col("raw"), F.col("zone"), F.col("received")
+    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != out])  # apart, so that no name clashes
+    step = df.select(rest.alias("rest"), F.col(value).alias("raw"), F.col(zone).alias("zone"), F.col(received).alias("received"))
+    step = step.withColumn("_v", F.when(F.length(raw) <= 100, _clean(raw)))
     # Longer texts, and texts without a digit, are not tokenised.
     step = step.withColumn("_spec", _lookup(shape_mask(F.when(F.col("_v").rlike("[0-9]"), F.col("_v"))), {m: _SPEC_IDS[s] for m, s in PARSERS.items()}))
     step = step.withColumn("_n", F.when(F.col("_spec").isNotNull(), F.regexp_extract_all(F.col("_v"), F.lit("([0-9]+)"), F.lit(1))))
@@ -217,7 +219,7 @@ def instants(df: DataFrame, value: str, zone: str, received: str, out: str = "ut
         F.when(F.col("_ampm").isNull(), F.col("_h"))
         .when(F.col("_ampm").isin("am", "pm") & F.col("_h").between(1, 12), F.col("_h") % 12 + F.when(F.col("_ampm") == "pm", 12).otherwise(0))
     )
-    received_day = F.floor(F.unix_micros(F.col(received)) / F.lit(86_400_000_000)).cast("int")
+    received_day = F.floor(F.unix_micros(received_at) / F.lit(86_400_000_000)).cast("int")
     day_of = lambda y, mo, d: F.unix_date(F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(mo.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")).try_cast("date"))
     year0 = F.year(F.date_from_unix_date(received_day))
     upcoming = F.array_min(F.filter(F.transform(F.sequence(year0, year0 + 8), lambda y: day_of(y, F.col("_mo"), F.col("_d"))), lambda x: x >= received_day))
@@ -236,7 +238,7 @@ def instants(df: DataFrame, value: str, zone: str, received: str, out: str = "ut
     epoch = F.when(F.col("_kind") == "epoch_s", first.try_cast("bigint") * 1_000_000).when(F.col("_kind") == "epoch_ms", first.try_cast("bigint") * 1000).when(F.col("_kind") == "epoch_us", first.try_cast("bigint"))
     step = step.withColumn("_local", local).withColumn("_minutes", minutes).withColumn("_own", has_zone)
     own = F.coalesce(epoch, F.when(F.col("_own"), F.col("_local") - F.col("_minutes").cast("bigint") * 60_000_000))
-    return step.select(*df.columns, _zoned()(own, F.when(~F.col("_own"), F.col("_local")), F.col(zone)).alias(out))
+    return step.select("rest.*", _zoned()(own, F.when(~F.col("_own"), F.col("_local")), zone_name).alias(out))
 
 
 _SPEC_IDS = {spec: i for i, spec in enumerate(dict.fromkeys(PARSERS.values()))}
