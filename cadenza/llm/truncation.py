@@ -56,36 +56,60 @@ def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | No
         return stem.contains(a) & (F.length(F.translate(stem, a, "")) < F.length(F.translate(stem, b, "")))
 
     broken = (tail.contains("\ufffd") | tail.contains("&")) & tail.rlike(BROKEN)
+    tokens = F.regexp_extract_all(F.lower(canonical_form(stem)), F.lit(TOKEN), F.lit(1))
     return cut.select(
         "row", "source", "completed", "said", "mark",
         F.length(raw).alias("chars"),
         F.octet_length(raw).alias("bytes"),
         (broken | F.right(stem, F.lit(4)).rlike(UNFINISHED) | opened("(", ")") | opened("«", "»")).alias("unfinished"),
-        F.regexp_extract_all(F.lower(canonical_form(stem)), F.lit(TOKEN), F.lit(1)).alias("tokens"),
+        tokens.alias("tokens"),
+    ).withColumn("same", F.xxhash64("tokens"))
+
+
+def spikes(shaped: DataFrame) -> DataFrame:
+    """(source, limit_chars, limit_bytes): where a source's histogram ends in a spike of different texts, by its lengths
+    alone. Too wide for a verdict, it keeps a large source's cut texts out of the count of how texts end."""
+    whole = shaped.where("mark = '' and not completed").select("source", "same", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "len"))
+    histogram = whole.groupBy("source", "unit", "len").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("least"), F.max("same").alias("most"))
+    top = F.max("len").over(Window.partitionBy("source", "unit"))
+    near = (F.col("len") >= F.col("limit") - 12) & (F.col("len") <= F.col("limit") - 3)
+    at_top = F.col("len") == F.col("limit")
+    return (
+        histogram.withColumn("limit", top).groupBy("source", "unit", "limit")
+        .agg(F.sum(F.when(at_top, F.col("n")).otherwise(0)).alias("n"), F.max(at_top & (F.col("least") != F.col("most"))).alias("different"), F.sum(F.when(near, F.col("n")).otherwise(0)).alias("below"))
+        .where((F.col("n") >= SPIKE) & F.col("different") & (F.col("n") >= SPIKE * F.col("below") / 10))
+        .groupBy("source").agg(F.max(F.when(F.col("unit") == "chars", F.col("limit"))).alias("limit_chars"), F.max(F.when(F.col("unit") == "bytes", F.col("limit"))).alias("limit_bytes"))
     )
 
 
 def endings(shaped: DataFrame) -> DataFrame:
-    """(before, word, ends, goes_on): over different texts, how often ``word`` (or a longer word that starts with it)
-    after ``before`` goes on, and how often the text ends with it; ``before`` is null for any."""
-    texts = shaped.groupBy("tokens", (F.col("mark") == "explicit").alias("cut")).agg(F.lit(1).alias("_one"))
+    """(before, word, ends, dotted, goes_on): over different texts, how often ``word`` (or a longer word that starts with
+    it) after ``before`` goes on, how often the text ends with it, and how often with dots; ``before`` is null for any.
+    Texts with an explicit mark, and those at a spike of their source, don't count as ends."""
+    limit = spikes(shaped)
+    s, at_spike = shaped.alias("s"), F.coalesce((F.col("chars") == F.col("limit_chars")) | (F.col("bytes") == F.col("limit_bytes")), F.lit(False))
+    cut = F.when((F.col("mark") == "explicit") | at_spike, 2).when(F.col("mark") != "", 1).otherwise(0)
+    texts = s.join(limit.alias("l"), F.col("s.source").eqNullSafe(F.col("l.source")), "left").groupBy("tokens", cut.alias("cut")).agg(F.lit(1).alias("_one"))
     n = F.size("tokens")
     each = F.transform(
         "tokens",
-        lambda w, i: F.struct(F.coalesce(F.get(F.col("tokens"), i - 1), F.lit("")).alias("before"), w.alias("word"), (i == n - 1).alias("last")),
+        lambda w, i: F.struct(F.coalesce(F.get(F.col("tokens"), i - 1), F.lit("")).alias("before"), w.alias("word"), F.when(i == n - 1, F.col("cut")).alias("last")),
     )
-    pairs = texts.select("cut", F.explode(each).alias("t")).groupBy("t.before", "t.word", "t.last", "cut").agg(F.count(F.lit(1)).alias("n"))
-    both = pairs.select(F.explode(F.array(F.col("before"), F.lit(None).cast("string"))).alias("before"), "word", "last", "cut", "n")
+    pairs = texts.select(F.explode(each).alias("t")).groupBy("t.before", "t.word", "t.last").agg(F.count(F.lit(1)).alias("n"))
+    both = pairs.select(F.explode(F.array(F.col("before"), F.lit(None).cast("string"))).alias("before"), "word", "last", "n")
+    counted = lambda hit: F.sum(F.when(hit, F.col("n")).otherwise(0))
     # Many a name follows one word once; only pairs with support go on to have their beginnings counted.
-    counted = both.groupBy("before", "word", "last", "cut").agg(F.sum("n").alias("n"))
-    ends = F.when(F.col("last") & ~F.col("cut"), F.col("n")).otherwise(0)
-    whole = counted.groupBy("before", "word").agg(F.sum(ends).alias("ends"), F.sum("n").alias("n"), F.sum(F.when(~F.col("last"), F.col("n")).otherwise(0)).alias("inner")).where(F.col("n") >= SUPPORT)
+    whole = (
+        both.groupBy("before", "word").agg(counted(F.col("last") == 0).alias("ends"), counted(F.col("last") == 1).alias("dotted"), counted(F.col("last").isNull()).alias("inner"), F.sum("n").alias("n"))
+        .where(F.col("n") >= SUPPORT)
+    )
     starts = F.transform(F.sequence(F.lit(1), F.length("word")), lambda k: F.struct(F.substring(F.col("word"), F.lit(1), k).alias("word"), (k == F.length("word")).alias("whole")))
+    own = lambda c: F.sum(F.when(F.col("s.whole"), F.col(c)).otherwise(0))
     return (
-        whole.select("before", F.explode(starts).alias("s"), "ends", "inner", "n")
+        whole.select("before", F.explode(starts).alias("s"), "ends", "dotted", "inner", "n")
         .groupBy("before", "s.word")
-        .agg(F.sum(F.when(F.col("s.whole"), F.col("ends")).otherwise(0)).alias("ends"), F.sum(F.when(F.col("s.whole"), F.col("inner")).otherwise(F.col("n"))).alias("goes_on"))
-        .where(F.col("ends") + F.col("goes_on") >= SUPPORT)
+        .agg(own("ends").alias("ends"), own("dotted").alias("dotted"), F.sum(F.when(F.col("s.whole"), F.col("inner")).otherwise(F.col("n"))).alias("goes_on"))
+        .where(F.col("ends") + F.col("dotted") + F.col("goes_on") >= SUPPORT)
     )
 
 
@@ -94,11 +118,11 @@ def _judged(shaped: DataFrame) -> DataFrame:
     n = F.size("tokens")
     tail = shaped.select(
         "row", "source", "chars", "bytes", "mark", "unfinished", "completed", "said",
-        F.xxhash64(F.array_join("tokens", " ")).alias("same"),
+        "same",
         F.coalesce(F.get("tokens", n - 2), F.lit("")).alias("before"),
         F.get("tokens", n - 1).alias("word"),
     )
-    pair = table.where("before is not null").select("before", "word", F.col("ends").alias("e2"), F.col("goes_on").alias("m2"))
+    pair = table.where("before is not null").select("before", "word", F.col("ends").alias("e2"), F.col("dotted").alias("d2"), F.col("goes_on").alias("m2"))
     single = table.where("before is null").select("word", F.col("ends").alias("e1"), F.col("goes_on").alias("m1"))
     joined = tail.join(pair, ["before", "word"], "left").join(single, "word", "left")
 
@@ -114,7 +138,8 @@ def _judged(shaped: DataFrame) -> DataFrame:
         F.when(by_pair & is_open(e2, m2), "open").when(by_pair & is_closed(e2, m2), "closed")
         .when(is_open(e1, m1), "open").when(~by_pair & is_closed(e1, m1), "closed").otherwise("unknown")
     )
-    always = F.coalesce(is_closed(e2, m2) & (m2 <= 0.02 * e2), F.lit(False))
+    formula = e2 + F.col("d2")
+    always = F.coalesce((formula >= SUPPORT) & (m2 <= 0.02 * formula), F.lit(False))
     return joined.select("row", "source", "chars", "bytes", "mark", "unfinished", "completed", "said", "same", ending.alias("ending"), always.alias("always"))
 
 
