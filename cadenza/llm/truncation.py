@@ -185,7 +185,7 @@ def cut_texts(df: DataFrame, row: str, source: str, text: str, completed: str |
         F.when(F.col("completed"), F.lit(None).cast("string"))
         .when(mark == "explicit", "mark")
         .when((mark != "") & F.col("style").isNotNull() & ~F.col("always"), "mark")
-        .when((mark != "") & is_open, "mark")
+        .when((mark != "") & (is_open | F.col("unfinished")), "mark")
         .when((mark == "") & F.col("unfinished"), "unfinished")
         .when((mark == "") & is_open & at_limit, "limit")
         .when((mark == "") & is_open, "transfer")
