@@ -29,3 +29,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
+    """A join's side that is small as a rule but has no bound: written once, counted, and broadcast up to ``rows`` rows;
+    beyond that the planner joins it by shuffling."""
+    from pyspark.sql import functions as F
+
+    side = written(df, label)
+    return F.broadcast(side) if side.count() <= rows else side
