@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.canonical import canonical_form
-from cadenza.tables import written
+from cadenza.tables import small_side, written
 
 # What stands in place of the rest. The first kind is never an author's; plain dots may be.
 EXPLICIT = r"(?i)\s*(?:(?:\.{2,}|…)\s*(?:lire la suite|en savoir \+|voir plus|read more|more)|(?:>>|»)\s*(?:voir plus|lire la suite|en savoir \+|read more)|\[\s*(?:…|\.{2,})\s*\]|\(\s*(?:…|\.{2,})\s*\)|&hellip;|&#8230;|&#x2026;)\s*$"
@@ -86,7 +86,7 @@ def endings(shaped: DataFrame) -> DataFrame:
     """(before, word, ends, dotted, goes_on): over different texts, how often ``word`` (or a longer word that starts with
     it) after ``before`` goes on, how often the text ends with it, and how often with dots; ``before`` is null for any.
     Texts with an explicit mark, and those at a spike of their source, don't count as ends."""
-    limit = spikes(shaped)
+    limit = small_side(spikes(shaped), "spikes")
     s, at_spike = shaped.alias("s"), F.coalesce((F.col("chars") == F.col("limit_chars")) | (F.col("bytes") == F.col("limit_bytes")), F.lit(False))
     cut = F.when((F.col("mark") == "explicit") | at_spike, 2).when(F.col("mark") != "", 1).otherwise(0)
     texts = s.join(limit.alias("l"), F.col("s.source").eqNullSafe(F.col("l.source")), "left").groupBy("tokens", cut.alias("cut")).agg(F.lit(1).alias("_one"))
@@ -171,11 +171,13 @@ def cut_texts(df: DataFrame, row: str, source: str, text: str, completed: str |
     """
     judged = written(_judged(_shaped(df, row, source, text, completed, said)), "judged")
     limit = limits(judged).groupBy("source").agg(F.max(F.when(F.col("unit") == "chars", F.col("limit"))).alias("limit_chars"), F.max(F.when(F.col("unit") == "bytes", F.col("limit"))).alias("limit_bytes"))
+    limit = small_side(limit, "limits")
     styles = (
         judged.where("mark not in ('', 'explicit') and not completed").groupBy("source", "mark")
         .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("ending") == "open").cast("int")).alias("open"))
         .where((F.col("open") >= 2) & (F.col("open") >= STYLE_OPEN * F.col("n"))).select("source", "mark", F.lit(True).alias("style"))
     )
+    styles = small_side(styles, "styles")
     j, at_limit = judged.alias("j"), F.coalesce((F.col("chars") == F.col("limit_chars")) | (F.col("bytes") == F.col("limit_bytes")), F.lit(False))
     rows = j.join(limit.alias("l"), F.col("j.source").eqNullSafe(F.col("l.source")), "left").join(
         styles.alias("s"), F.col("j.source").eqNullSafe(F.col("s.source")) & (F.col("j.mark") == F.col("s.mark")), "left"
