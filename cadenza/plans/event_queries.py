@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import dates, text
 from cadenza.html import ops
-from cadenza.operators import execute, publish, runs, social, state, validate
+from cadenza.operators import execute, induce, publish, runs, social, state, validate
 from cadenza.sources import sinks
 from cadenza.tables import load
 
@@ -387,6 +387,27 @@ def css_items(spark: SparkSession, d: str) -> DataFrame:
     return execute.apply_rules(_listings(spark, d), [LISTING], TODAY).where("failure is null").select("title", "start_date")
 
 
+@_query()
+def induced_rules(spark: SparkSession, d: str) -> DataFrame:
+    """IN-1..5 over one listing page for each month of a source."""
+    pages = _listings(spark, d).withColumn("month", F.substring_index(F.substring("url", -10, 7), "#", -1)).withColumn("source", F.substring_index("url", "#", 1))
+    joined = pages.groupBy("source", "month").agg(F.array_join(F.array_sort(F.collect_list("raw")), "").alias("raw"))
+    return induce.inductions(joined.select(F.concat_ws("#", "source", "month").alias("url"), "raw"), TODAY)
+
+
+@_query(
+    """with a as (select venue_id, title, start_date from event_snapshots where snapshot_no = 5 and venue_id is not null and title is not null and start_date is not null group by all), b as (select venue_id, title, start_date from event_snapshots where snapshot_no = 6 and venue_id is not null and title is not null and start_date is not null group by all),
+  j as (select coalesce(a.venue_id, b.venue_id) v, coalesce(a.title, b.title) t, a.venue_id is not null ia, b.venue_id is not null ib from a full join b on a.venue_id = b.venue_id and a.title = b.title and a.start_date = b.start_date),
+  s as (select v, t, bool_or(ia) ha, bool_or(ib) hb, count(*) filter (where ia and ib) hit, count(*) filter (where ib) wanted from j group by 1, 2),
+  c as (select v, count(*) filter (where ha and hb) shared, count(*) n, sum(hit) hit, sum(wanted) wanted, count(*) filter (where ha) na, count(*) filter (where hb) nb from s group by 1)
+  select v venue_id, round(case when na = 0 or nb = 0 then 0 else least(shared / n, hit / wanted) end, 6) agreement from c where v is not null"""
+)
+def reader_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """FN-19: the fifth snapshot as read, the sixth as reference, by venue."""
+    s = load(spark, d, "event_snapshots").where("venue_id is not null and title is not null and start_date is not null")
+    return induce.agreement(s.where("snapshot_no = 5"), s.where("snapshot_no = 6"), "venue_id")
+
+
 @_query()
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     p = _listings(spark, d)
