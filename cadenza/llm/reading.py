@@ -8,6 +8,7 @@ of labelled documents; scoring is one pass in Arrow batches without a shuffle.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -32,11 +33,18 @@ _COUNTED = re.compile(r"[^\W_]+")
 
 
 def sentences(text: str) -> list[list[str]]:
-    """The lower-cased words of each sentence; a line break ends a sentence too."""
-    return [w for s in _SENTENCE.split(text) if (w := _WORD.findall(s.lower()))]
+    """The lower-cased words of each sentence, and its shape as words of its own; a line break ends a sentence too."""
+    return [[*w, *_shape(w), *_shape(w)] for s in _SENTENCE.split(text) if (w := _WORD.findall(s.lower()))]
+
+
+def _shape(words: list[str]) -> tuple[str, str]:
+    """Its length and its words' mean length, in steps: few labelled documents know few words."""
+    return f"#l{min(9, int(2 * math.log2(len(words))))}", f"#w{min(9, sum(map(len, words)) // len(words))}"
 
 
 def word_features(word: str) -> list[str]:
+    if word[0] == "#":
+        return [f"w{word}"]
     marked = f"<{word}>"
     return [f"w{word}", *(marked[i : i + n] for n in (2, 3, 4, 5) for i in range(len(marked) - n + 1))]
 
