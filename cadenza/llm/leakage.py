@@ -1,6 +1,6 @@
 """Passages of evaluation items inside training documents.
 
-Every Arrow batch of documents is a shard. Its words are mapped to the numbers of the items' vocabulary; runs too short
+Every Arrow batch of documents is a shard (or several, where its texts are very long). Its words are mapped to the numbers of the items' vocabulary; runs too short
 to hold a passage are dropped, and a suffix array is built over the rest. Every suffix of every item is then searched
 in it by bisection, all at once; from the suffixes that share its first words the longest verbatim matches and their
 places are read. Documents are neither shuffled nor joined.
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 WORDS = 13  # consecutive words of an item that make a leak
 BLOCK_ITEMS = 20_000  # items searched in one pass; more are searched in blocks, each in a pass of its own
 BLOCK_CHARS = 32_000_000
+SHARD_CHARS = 32_000_000
 
 _BREAK = re.compile(r"</?(?:br|p|div|li|ul|ol|tr|td|th|h[1-6]|hr|blockquote)\b[^<>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
@@ -142,6 +143,20 @@ def search(texts: list[str | None], items: Items) -> list[tuple[int, int, int, i
     return [(d, item, *found) for (d, item), found in best.items()]
 
 
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str | None]]]:
+    """(keys, texts) of at most a batch, cut where their texts exceed SHARD_CHARS."""
+    for b in batches:
+        keys, texts, chars = [], [], 0
+        for k, t in zip(b.column(0), b.column(1), strict=True):
+            keys.append(k.as_py())
+            texts.append(t.as_py())
+            chars += len(texts[-1] or "")
+            if chars > SHARD_CHARS:
+                yield keys, texts
+                keys, texts, chars = [], [], 0
+        yield keys, texts
+
+
 def _blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
     block: list[tuple[int, str]] = []
     chars = 0
@@ -170,9 +185,8 @@ def leaks(documents: DataFrame, doc_key: str, doc_text: str, items: DataFrame, i
         held = spark.sparkContext.broadcast(Items(block, least))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keys = b.column(0).to_pylist()
-                rows = [(keys[d], *rest) for d, *rest in search(b.column(1).to_pylist(), held.value)]
+            for keys, texts in shards(batches):
+                rows = [(keys[d], *rest) for d, *rest in search(texts, held.value)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 5, out_type, strict=True)], schema=out_type)
 
         part = texts.mapInArrow(run, schema)

@@ -26,6 +26,7 @@ TRAINING_DOCUMENTS = 1_000  # labelled documents the models are fitted on, the s
 TRAINING_CHARS = 20_000  # of each of these, the first characters alone are learned from; scoring takes whole texts
 HASHED = 1 << 16
 CACHED_WORDS = 400_000
+AT_ONCE_CHARS = 4_000_000  # texts scored at once hold about so many characters
 
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"»”’)\]]*\s+|[\r\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -226,16 +227,23 @@ def levels(documents: DataFrame, key: str, text: str, model: ReadingModel, min_w
     names = ["doc_id", "reading_level", "difficulty", *[f"p{i + 1}" for i in range(LEVELS)]]
     types = [pa.int64(), pa.int32(), *[pa.float64()] * (LEVELS + 1)]
 
+    def scored(keys: list[int], docs: list[list[list[str]]]) -> pa.RecordBatch:
+        p = held.value.probabilities(docs) if docs else np.zeros((0, LEVELS))
+        columns = [keys, p.argmax(1) + 1, p @ np.arange(1, LEVELS + 1), *p.T]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, docs = [], []
+            keys, docs, chars = [], [], 0
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if t and len(_COUNTED.findall(t)) >= min_words and (d := sentences(t)):
                     keys.append(k)
                     docs.append(d)
-            p = held.value.probabilities(docs) if docs else np.zeros((0, LEVELS))
-            columns = [keys, p.argmax(1) + 1, p @ np.arange(1, LEVELS + 1), *p.T]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                    chars += len(t)
+                    if chars > AT_ONCE_CHARS:
+                        yield scored(keys, docs)
+                        keys, docs, chars = [], [], 0
+            yield scored(keys, docs)
 
     schema = "doc_id bigint, reading_level int, difficulty double, " + ", ".join(f"p{i + 1} double" for i in range(LEVELS))
     return documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(run, schema)
