@@ -77,6 +77,12 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_sources": p1_sources, "p3_found": p3_found, "p3_canonical": p3_canonical, "p4_found": p4_found, "p4_groups": p4_groups, "p8_ids": p8_ids, "p9_found": p9_found, "p9_matches": p9_matches, "p9_clean": p9_clean, "p10_found": p10_found, "p10_levels": p10_levels}
 
+# The signs of canonical.UNSTABLE and ALIKE in SQL's notation.
+_SIGNS = "".join(
+    rf"\x{{{c}}}" if "-" not in c else rf"\x{{{c[:4]}}}-\x{{{c[5:]}}}"
+    for c in "FF01-FF5E FFE0-FFE6 FB00-FB06 0300-034E 0350-036F 00AD 034F 061C 180E 200B 200E 200F 202A-202E 2060-2064 2066-206F FEFF 200C 200D 00A0 1680 2000-200A 202F 205F 3000 2010 2011 FE63 0251 0261".split()
+)
+_WORDS = r"regexp_extract_all(strip_accents(lower(regexp_replace(regexp_replace(regexp_replace(text, '<br[^<>]*>', ' ', 'gi'), '</?[a-zA-Z][^<>]*>', '', 'g'), '[*]+', '', 'g'))), '[\p{L}\p{N}]+')"
 _NORM = r"lower(regexp_replace({}, '[^\p{{L}}\p{{M}}\p{{N}}]+|[\x{{FE00}}-\x{{FE0F}}\x{{200B}}-\x{{200D}}]', '', 'g'))"
 _RECORDS = f"""
 records as (
@@ -87,4 +93,13 @@ records as (
 SQL = {
     "p4_found": f"with {_RECORDS}, f as (select *, min(id) over (partition by table_name, v, s, t) first_id from records) select table_name, first_id, id copy_id from f where id <> first_id",
     "p4_groups": f"with {_RECORDS} select table_name, min(id) first_id, count(*) copies from records group by table_name, v, s, t",
+    "p3_found": " union all ".join(
+        rf"""select '{t}' table_name, cast({k} as varchar) row_key from {t}
+  where regexp_matches(regexp_replace({c}, '([\x{{1F000}}-\x{{1FAFF}}\x{{2600}}-\x{{27BF}}\x{{FE0F}}])\x{{200D}}', '\1', 'g'), '[{_SIGNS}]|\p{{Latin}}[\p{{Cyrillic}}\p{{Greek}}]|[\p{{Cyrillic}}\p{{Greek}}]\p{{Latin}}')"""
+        for t, k, c in TEXTS
+    ),
+    "p9_found": rf"""with d as (select doc_id, {_WORDS} w from documents), i as (select item_id, {_WORDS} w from eval_items),
+  dg as (select doc_id, array_to_string(list_slice(w, p, p + 12), ' ') g from (select doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) p from d) where len(w) >= 13),
+  ig as (select item_id, array_to_string(list_slice(w, p, p + 12), ' ') g from (select item_id, w, unnest(range(1, greatest(len(w) - 11, 1))) p from i) where len(w) >= 13)
+  select distinct doc_id, item_id from dg join ig using (g)""",
 }
