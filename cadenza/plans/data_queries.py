@@ -51,8 +51,7 @@ def _flat(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    wanted = [x for x in LEAVES if x != "photo_image.uri"] + ["photo_image.uri"]
-    found = [nested.leaves(flat, wanted).select(F.lit(t).alias("table_name"), "row_id", "field_path", "positions", "leaf_value") for t, flat in _flat(spark, d)]
+    found = [nested.leaves(flat, LEAVES).select(F.lit(t).alias("table_name"), "row_id", "field_path", "positions", "leaf_value") for t, flat in _flat(spark, d)]
     # An image's uri counts only where the image belongs to a medium.
     return _union(found).where("field_path not like '%photo_image.uri' or field_path = 'media.photo_image.uri' or field_path like '%.media.photo_image.uri'")
 
@@ -80,7 +79,17 @@ _RANGES = """select '{t}' table_name, producer, min(n) lo, max(n) hi, count(*) n
     select distinct length("{c}") || ':' || substr("{c}", 1, 4) producer, cast(substr("{c}", 5) as bigint) n from {t} where regexp_full_match("{c}", '[0-9]{{5,22}}')))
   group by producer, block, island"""
 
+_TREES = " union all ".join(
+    [f"select '{t}' table_name, row_id, to_json({{{', '.join(f'{chr(39)}{c}{chr(39)}: {c}' for c in columns)}}}) j from {t}" for t, columns in NESTED]
+    + ["select 'raw_items', raw_id, cast(case when json_valid(payload) then payload end as json) from raw_items where kind <> 'event' or kind is null"]
+)
+_LEAVES = rf"""select table_name, row_id, trim(regexp_replace(regexp_replace(fullkey, '\[[0-9]+\]', '', 'g'), '^\$\.?', ''), '.') field_path,
+  array_to_string(regexp_extract_all(fullkey, '\[([0-9]+)\]', 1), '.') positions, atom ->> '$' leaf_value
+  from (select s.table_name, s.row_id, t.fullkey, t.atom from ({_TREES}) s, json_tree(s.j) t where t.atom is not null)
+  where regexp_matches(regexp_replace(fullkey, '\[[0-9]+\]', '', 'g'), '\.(ticketsInfo\.buyUrl|location\.name|childPosts\.displayUrl|media\.photo_image\.uri)$') and (atom ->> '$') <> ''"""
+
 SQL = {
+    "p7_found": _LEAVES,
     "p2_found": f"with {_LATEST} select snapshot_no, uid, change_kind {_PAIRS}",
     "p5_found": " union all ".join(_FIRST.format(t=t, c=c) for t, c in MESSAGES),
     "p5_ranges": " union all ".join(_RANGES.format(t=t, c=c) for t, c in MESSAGES),

@@ -90,8 +90,8 @@ def continue_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 _STATE = f"""
-  olds as (select * from agenda_events where cast(ingested_at as date) < {_T} qualify row_number() over (partition by uid order by row_id desc) = 1),
-  news as (select * from agenda_events where cast(ingested_at as date) >= {_T}),
+  olds as (select * from agenda_events where (date '1970-01-01' + cast(floor(epoch(ingested_at) / 86400) as int)) < {_T} qualify row_number() over (partition by uid order by row_id desc) = 1),
+  news as (select * from agenda_events where (date '1970-01-01' + cast(floor(epoch(ingested_at) / 86400) as int)) >= {_T}),
   newest as (select * from news qualify row_number() over (partition by uid order by source_url desc, row_id desc) = 1),
   fetched as (select distinct source_url from news),
   live as (select source_url, count(distinct uid) live from olds where coalesce(end_date, start_date) >= {_T} group by 1),
@@ -105,7 +105,7 @@ def _merged(spark: SparkSession, d: str) -> state.Merged:
     later ones are a run of their sources, in the order of their addresses."""
     e = _events(spark, d)
     columns = ["uid", "source_url", "start_date", "end_date", "image", "image_source", "first_seen", "last_seen", "title"]
-    day = F.to_date(F.to_utc_timestamp("ingested_at", F.current_timezone()))
+    day = F.date_from_unix_date(F.floor(F.unix_micros("ingested_at") / F.lit(86_400_000_000)).cast("int"))
     old = e.where(day < F.lit(TODAY)).groupBy("uid").agg(F.max(F.struct("row_id", F.struct(*columns[1:]).alias("r"))).alias("b")).select("uid", "b.r.*")
     new = e.where(day >= F.lit(TODAY)).select(*columns, F.col("row_id").alias("pos"))
     fetched = new.select("source_url").distinct().select("source_url", F.col("source_url").alias("rank"), F.lit(None).cast("string").alias("error"))
@@ -171,15 +171,15 @@ def range_contains(spark: SparkSession, d: str) -> DataFrame:
 _KEY = r"strip_accents(lower(trim(regexp_replace(replace(replace(title, '…', '...'), '’', ''''), '\s+', ' ', 'g'))))"
 
 
-@_query(rf"select snapshot_no, uid, loaded_at, {_KEY} title_key, trim(regexp_replace({_KEY}, '[^a-z0-9]+', '-', 'g'), '-') slug, substr(sha1(concat_ws('|', venue_id, {_KEY}, cast(start_date as varchar))), 1, 12) made_uid from event_snapshots where title is not null")
+@_query(rf"select snapshot_no, uid, epoch_us(loaded_at) loaded_us, {_KEY} title_key, trim(regexp_replace({_KEY}, '[^a-z0-9]+', '-', 'g'), '-') slug, substr(sha1(concat_ws('|', venue_id, {_KEY}, cast(start_date as varchar))), 1, 12) made_uid from event_snapshots where title is not null")
 def normalize_slug_uid(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("title")
-    return load(spark, d, "event_snapshots").where(t.isNotNull()).select("snapshot_no", "uid", "loaded_at", text.title_key(t).alias("title_key"), text.slugify(t, "").alias("slug"), text.event_uid(F.col("venue_id"), t, F.col("start_date")).alias("made_uid"))
+    return load(spark, d, "event_snapshots").where(t.isNotNull()).select("snapshot_no", "uid", F.unix_micros("loaded_at").alias("loaded_us"), text.title_key(t).alias("title_key"), text.slugify(t, "").alias("slug"), text.event_uid(F.col("venue_id"), t, F.col("start_date")).alias("made_uid"))
 
 
-@_query(rf"select snapshot_no, uid, loaded_at, array_to_string(list_sort({_TOKENS}), ' ') tokens from event_snapshots where title is not null")
+@_query(rf"select snapshot_no, uid, epoch_us(loaded_at) loaded_us, array_to_string(list_sort({_TOKENS}), ' ') tokens from event_snapshots where title is not null")
 def title_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "event_snapshots").where("title is not null").select("snapshot_no", "uid", "loaded_at", F.array_join(F.array_sort(text.title_tokens(F.col("title"))), " ").alias("tokens"))
+    return load(spark, d, "event_snapshots").where("title is not null").select("snapshot_no", "uid", F.unix_micros("loaded_at").alias("loaded_us"), F.array_join(F.array_sort(text.title_tokens(F.col("title"))), " ").alias("tokens"))
 
 
 _WS = r"[\s\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{0085}\x{000B}]"
@@ -275,10 +275,10 @@ def verdict_counts(spark: SparkSession, d: str) -> DataFrame:
     return _events(spark, d).groupBy("verifier", "source_kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("uid").alias("uids"), F.min("start_date").alias("first_day"))
 
 
-@_query(f"""with known as (select distinct uid from agenda_events where cast(ingested_at as date) < {_T} and verifier = 'accept')
-  select e.row_id, k.uid is not null reused from agenda_events e left join known k on e.uid = k.uid where cast(e.ingested_at as date) >= {_T}""")
+@_query(f"""with known as (select distinct uid from agenda_events where (date '1970-01-01' + cast(floor(epoch(ingested_at) / 86400) as int)) < {_T} and verifier = 'accept')
+  select e.row_id, k.uid is not null reused from agenda_events e left join known k on e.uid = k.uid where (date '1970-01-01' + cast(floor(epoch(e.ingested_at) / 86400) as int)) >= {_T}""")
 def verdict_reuse(spark: SparkSession, d: str) -> DataFrame:
-    day = F.to_date(F.to_utc_timestamp("ingested_at", F.current_timezone()))
+    day = F.date_from_unix_date(F.floor(F.unix_micros("ingested_at") / F.lit(86_400_000_000)).cast("int"))
     e = _events(spark, d)
     known = e.where((day < F.lit(TODAY)) & (F.col("verifier") == "accept")).select("uid").distinct().withColumn("_known", F.lit(True))
     return e.where(day >= F.lit(TODAY)).join(known, "uid", "left").select("row_id", F.col("_known").isNotNull().alias("reused"))
@@ -291,10 +291,10 @@ def anti_not_cached(spark: SparkSession, d: str) -> DataFrame:
     return social.not_cached(posts, cache).select("row_id", F.lit(None).cast("string").alias("id"), "postid")
 
 
-@_query(f"""select e.row_id from agenda_events e where cast(e.ingested_at as date) >= {_T} and not exists (select 1 from agenda_events o where o.last_seen = {_T} and o.uid = e.uid and o.source_url <> e.source_url)""")
+@_query(f"""select e.row_id from agenda_events e where (date '1970-01-01' + cast(floor(epoch(e.ingested_at) / 86400) as int)) >= {_T} and not exists (select 1 from agenda_events o where o.last_seen = {_T} and o.uid = e.uid and o.source_url <> e.source_url)""")
 def anti_published_elsewhere(spark: SparkSession, d: str) -> DataFrame:
     e = _events(spark, d)
-    day = F.to_date(F.to_utc_timestamp("ingested_at", F.current_timezone()))
+    day = F.date_from_unix_date(F.floor(F.unix_micros("ingested_at") / F.lit(86_400_000_000)).cast("int"))
     return social.published_elsewhere(e.where(day >= F.lit(TODAY)), e, TODAY).select("row_id")
 
 

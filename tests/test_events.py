@@ -283,3 +283,15 @@ def test_stream(spark, tmp_path):
     got = sorted(r.row for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [0, 1, 2, 3, 11, 13]
     assert [(r.producer, r.lo, r.hi) for r in store.read("seen", "producer string, lo bigint, hi bigint, n bigint").collect()] == [("16:1300", 1, 3)]
+
+
+def test_stream_windows(spark, tmp_path):
+    t = datetime.datetime(2026, 1, 1, 10)
+    rows = [(t + datetime.timedelta(minutes=m), k) for m, k in ((0, "a"), (10, "a"), (70, "a"), (5, "b"), (200, "a"))]
+    spark.createDataFrame(rows, "at timestamp, k string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    for i, f in enumerate((agenda.windowed_counts, agenda.sessions)):
+        stream = f(spark.readStream.schema("at timestamp, k string").parquet(str(tmp_path / "in")), "at", "k")
+        stream.writeStream.outputMode("complete" if i == 0 else "append").format("memory").queryName(f"q{i}").option("checkpointLocation", str(tmp_path / f"cp{i}")).trigger(availableNow=True).start().awaitTermination(60)
+    assert {(r.window_start, r.k, r.n) for r in spark.table("q0").collect()} == {(t, "a", 2), (t + datetime.timedelta(hours=1), "a", 1), (t, "b", 1), (t + datetime.timedelta(hours=3), "a", 1)}
+    # Sessions come out when the watermark, two hours behind the latest row, has passed them.
+    assert {(r.session_start, r.k, r.n) for r in spark.table("q1").collect()} == {(t, "a", 2), (t + datetime.timedelta(minutes=5), "b", 1)}
