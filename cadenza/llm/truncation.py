@@ -18,7 +18,9 @@ from cadenza.tables import small_side, written
 # What stands in place of the rest. The first kind is never an author's; plain dots may be.
 EXPLICIT = r"(?i)\s*(?:(?:\.{2,}|…)\s*(?:lire la suite|en savoir \+|voir plus|read more|more)|(?:>>|»)\s*(?:voir plus|lire la suite|en savoir \+|read more)|\[\s*(?:…|\.{2,})\s*\]|\(\s*(?:…|\.{2,})\s*\)|&hellip;|&#8230;|&#x2026;)\s*$"
 DOTS = r"\s*(?:…|\.{2,})\s*$"
-BROKEN = r"�\s*$|&[A-Za-z#0-9]{0,7}$"
+ENTITIES = ("amp", "nbsp", "quot", "hellip", "eacute", "egrave", "ecirc", "agrave", "acirc", "ccedil", "icirc", "ocirc", "ugrave", "ucirc", "rsquo", "lsquo", "laquo", "raquo", "oelig", "euro")
+_STARTS = "|".join(sorted({e[:n] for e in ENTITIES for n in range(2, len(e) + 1)}))  # at least two letters: R&B is whole
+BROKEN = rf"\ufffd\s*$|&(?:#x?[0-9a-fA-F]{{0,6}}|(?:{_STARTS}))$"
 UNFINISHED = r"(?:[(\[«,:+&/]|\s[-–—])\s*$"
 TOKEN = r"([\p{L}\p{N}]+|\+)"
 MARK_CHARS = 48  # in which a mark is looked for, from the end
