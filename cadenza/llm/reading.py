@@ -199,25 +199,24 @@ def fit(texts: list[str], targets: np.ndarray, folds: int = 3) -> ReadingModel:
     return ReadingModel(model, _fit(held, targets, np.ones(len(docs)), 1e-3, 1000))
 
 
-def label_targets(rows: list[tuple[int, str | None, int]]) -> dict[int, np.ndarray]:
-    """By document: each rater's mean opinion as a distribution, averaged over the raters. Levels outside 1..5 are left out."""
-    by: dict[int, dict[str | None, list[int]]] = defaultdict(lambda: defaultdict(list))
-    for doc, rater, level in rows:
-        if level is not None and 1 <= level <= LEVELS:
-            by[doc][rater].append(level)
-    return {d: np.mean([np.mean(np.eye(LEVELS)[[x - 1 for x in v]], 0) for v in raters.values()], 0) for d, raters in by.items()}
+def label_targets(labels: DataFrame) -> DataFrame:
+    """(doc_id, target): by document, each rater's opinions as a distribution over the levels, averaged over the raters; a
+    null rater is a rater. Levels outside 1..5 are left out."""
+    shares = [F.avg((F.col("reading_level") == k).cast("double")).alias(f"t{k}") for k in range(1, LEVELS + 1)]
+    by_rater = labels.where(F.col("reading_level").between(1, LEVELS)).groupBy("doc_id", "rater").agg(*shares)
+    means = by_rater.groupBy("doc_id").agg(*[F.avg(f"t{k}").alias(f"t{k}") for k in range(1, LEVELS + 1)])
+    return means.select("doc_id", F.array(*[f"t{k}" for k in range(1, LEVELS + 1)]).alias("target"))
 
 
 def train(documents: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) -> ReadingModel:
     """Fitted on at most ``limit`` labelled documents, those with the smallest hashes of their ids."""
-    chosen = labels.where("reading_level between 1 and 5").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rated = labels.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("rater", "reading_level")).alias("r"))
-    rows = documents.where(F.col("text").isNotNull()).join(F.broadcast(rated), "doc_id").select("doc_id", F.substring("text", 1, TRAINING_CHARS).alias("text"), "r").collect()
+    chosen = label_targets(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    texts = documents.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, TRAINING_CHARS).alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     if not rows:
         raise ValueError("no labelled documents to learn from")
-    targets = label_targets([(r.doc_id, x.rater, x.reading_level) for r in rows for x in r.r])
-    return fit([r.text for r in rows], np.array([targets[r.doc_id] for r in rows]))
+    return fit([r.text for r in rows], np.array([r.target for r in rows]))
 
 
 def levels(documents: DataFrame, key: str, text: str, model: ReadingModel, min_words: int = MIN_WORDS) -> DataFrame:

@@ -178,6 +178,12 @@ def test_suffix_array():
 # p10
 
 
+def test_label_targets(spark):
+    rows = [(1, "a", 2), (1, "a", 4), (1, "b", 2), (1, "c", None), (1, "c", 9), (2, None, 5), (3, "a", 0)]
+    got = {r.doc_id: r.target for r in reading.label_targets(spark.createDataFrame(rows, "doc_id bigint, rater string, reading_level int")).collect()}
+    assert got == {1: [0, 0.75, 0, 0.25, 0], 2: [0, 0, 0, 0, 1]}
+
+
 def test_reading_levels(spark):
     r = random.Random(9)
     pool = [["Le chat joue dans la cour.", "Tu veux rire ou chanter ?"], ["On se retrouve sur la place du village pour partager un repas."], ["Depuis plusieurs années la compagnie propose une programmation variée."], ["La délégation territoriale conditionne la restructuration de la gouvernance."], ["La phénoménologie de la réception excède ontologiquement la clôture herméneutique du corpus."]]
