@@ -179,14 +179,12 @@ def instants(df: DataFrame, value: str, zone: str, received: str, out: str = "ut
     step = df.select(rest.alias("rest"), F.col(value).alias("raw"), F.col(zone).alias("zone"), F.col(received).alias("received"))
     step = step.withColumn("_v", F.when(F.length(raw) <= 100, _clean(raw)))
     # Longer texts, and texts without a digit, are not tokenised.
-    step = step.withColumn("_spec", _lookup(shape_mask(F.when(F.col("_v").rlike("[0-9]"), F.col("_v"))), {m: _SPEC_IDS[s] for m, s in PARSERS.items()}))
+    step = step.withColumn("_mask", shape_mask(F.when(F.col("_v").rlike("[0-9]"), F.col("_v")))).withColumn("_spec", F.expr(_SPEC_OF_MASK))
     step = step.withColumn("_n", F.when(F.col("_spec").isNotNull(), F.regexp_extract_all(F.col("_v"), F.lit("([0-9]+)"), F.lit(1))))
     step = step.withColumn("_w", F.when(F.col("_spec").isNotNull(), F.regexp_extract_all(F.col("_v"), F.lit(r"(\p{L}+)"), F.lit(1))))
-    spec = F.col("_spec")
 
     def part(name: str) -> Column:
-        i = fields.index(name)
-        return _lookup(spec, {k: s[i] for s, k in _SPEC_IDS.items() if s[i] != -1})
+        return F.expr(f"get({_literal_array(fields.index(name))}, _spec)")
 
     def number(name: str) -> Column:
         return F.get(F.col("_n"), part(name)).try_cast("bigint")
@@ -241,4 +239,16 @@ def instants(df: DataFrame, value: str, zone: str, received: str, out: str = "ut
     return step.select("rest.*", _zoned()(own, F.when(~F.col("_own"), F.col("_local")), zone_name).alias(out))
 
 
+def _sql(v: object) -> str:
+    return "null" if v == -1 and v is not False else f"'{v}'" if isinstance(v, str) else str(v).lower()
+
+
+def _literal_array(i: int) -> str:
+    """The i-th part of every parser, by the parser's number."""
+    return f"array({', '.join(_sql(s[i]) for s in _SPEC_IDS)})"
+
+
 _SPEC_IDS = {spec: i for i, spec in enumerate(dict.fromkeys(PARSERS.values()))}
+_MASKS_OF = {i: [m for m, s in PARSERS.items() if _SPEC_IDS[s] == i] for i in _SPEC_IDS.values()}
+#: The table as SQL text, which is parsed at once: a test of membership per parser.
+_SPEC_OF_MASK = "case " + " ".join(f"when _mask in ({', '.join(map(_sql, masks))}) then {i}" for i, masks in _MASKS_OF.items()) + " end"
