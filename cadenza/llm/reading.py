@@ -133,7 +133,10 @@ def fit_sentences(docs: list[list[list[str]]], targets: np.ndarray, least: int,
                 seen[h].add(d)
     known = np.zeros(HASHED, bool)
     known[[h for h, ds in seen.items() if len(ds) >= least]] = True
-    kept = [[h for h in f if known[h]] for f in features]
+    used = np.flatnonzero(known)  # the model is fitted over these alone
+    place = np.full(HASHED, -1)
+    place[used] = np.arange(len(used))
+    kept = [[place[h] for h in f if known[h]] for f in features]
     counts = np.array([len(f) for f in kept])
     flat = np.array([h for f in kept for h in f], np.int64)
     of_word = np.repeat(np.arange(len(kept)), counts)
@@ -141,7 +144,7 @@ def fit_sentences(docs: list[list[list[str]]], targets: np.ndarray, least: int,
     word_at, sizes_, weight_ = np.array(word_at), np.array(sizes), np.array(weight)
     of_sentence = np.repeat(np.arange(len(sizes_)), sizes_)
     target = targets[np.array(owner)]
-    theta, constant = np.zeros((HASHED, LEVELS)), np.zeros(LEVELS)
+    theta, constant = np.zeros((len(used), LEVELS)), np.zeros(LEVELS)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
 
     def gather(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -153,10 +156,12 @@ def fit_sentences(docs: list[list[list[str]]], targets: np.ndarray, least: int,
         error = (_softmax(z) - target) * (weight_ / weight_.sum())[:, None]
         constant -= 0.5 * error.sum(0)
         back = gather((error / np.sqrt(sizes_)[:, None])[of_sentence], word_at, len(kept)) * scale[:, None]
-        g = gather(back[of_word], flat, HASHED) + penalty * theta
+        g = gather(back[of_word], flat, len(used)) + penalty * theta
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    return SentenceModel(theta, known, constant)
+    whole = np.zeros((HASHED, LEVELS))
+    whole[used] = theta
+    return SentenceModel(whole, known, constant)
 
 
 def document_features(model: SentenceModel, docs: list[list[list[str]]]) -> np.ndarray:
