@@ -38,3 +38,10 @@ def small_side(df: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
 
     side = written(df, label)
     return F.broadcast(side) if side.count() <= rows else side
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """For costly work over a table that came in fewer pieces than the cluster has cores (a single small file): in as many
+    pieces as cores. Larger tables pass as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
