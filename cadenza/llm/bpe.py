@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.tables import spread
+
 DEFAULT_VOCABULARY = os.environ.get("CADENZA_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.json"
 # Fixed value: the published pattern that splits text before the merges; (?U) gives \s its Unicode meaning.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -162,6 +164,7 @@ def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, o
     texts give the empty list. The vocabulary is read on the driver alone."""
     vocabulary = Vocabulary.read(path)
     ids_of = _fold(vocabulary)
+    df = spread(df.select(key, text))
     words: list[list[str]] = [[] for _ in range(BUCKETS)]
     ids: list[list[list[int]]] = [[] for _ in range(BUCKETS)]
     for at, word, word_ids in hot_words(df, text, ids_of):
