@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,6 +128,24 @@ def evidence_windows(text: Column, quotes: Column, radius: int = RADIUS) -> Colu
     return let(parts, lambda p: F.when(F.size(p) > 0, F.array_join(p, "\n[...]\n")).otherwise(F.left(text, F.lit(2 * radius))))
 
 
+def at_venue(pattern: Column, location: Column) -> Column:
+    """FL-7: does a place fit a venue's own pattern (Python's dialect, any case, accents off on both sides)? Without pattern
+    or place it does, and so it does where the pattern is no regular expression: one bad venue fails no job."""
+
+    @F.pandas_udf("boolean")
+    def fits(patterns: pd.Series, places: pd.Series) -> pd.Series:
+        compiled: dict[str, re.Pattern | None] = {}
+        for p in patterns.dropna().unique():
+            try:
+                compiled[p] = re.compile(p, re.I)
+            except re.error:
+                compiled[p] = None
+        return pd.Series([p is None or t is None or compiled[p] is None or compiled[p].search(t) is not None for p, t in zip(patterns, places, strict=True)], dtype=bool)
+
+    plain = strip_accents(normalize_text(location))
+    return F.when(pattern.isNull() | location.isNull(), F.lit(True)).otherwise(fits(strip_accents(pattern), plain))
+
+
 def present_in(pieces: DataFrame, piece: str, piece_key: str, texts: DataFrame, text: str, text_key: str) -> DataFrame:
     """JN-6 over an equality: pieces whose text of the same key holds them verbatim."""
     held = texts.select(F.col(text_key).alias("_k"), F.col(text).alias("_t"))

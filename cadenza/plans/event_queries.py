@@ -250,12 +250,11 @@ def reasons_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query("""select e.row_id, e.location_name from agenda_events e join venues v on e.venue_id = v.id
-  where v.location_filter is null or e.location_name is null or coalesce(try(regexp_matches(strip_accents(lower(e.location_name)), '(?i)' || strip_accents(v.location_filter))), false)""")
+  where v.location_filter is null or e.location_name is null or coalesce(try(regexp_matches(strip_accents(lower(e.location_name)), '(?i)' || strip_accents(v.location_filter))), true)""")
 def location_rule(spark: SparkSession, d: str) -> DataFrame:
-    v = load(spark, d, "venues").select(F.col("id").alias("venue_id"), text.strip_accents(F.col("location_filter")).alias("_pattern"), F.col("location_filter").isNull().alias("_any"))
+    v = load(spark, d, "venues").select(F.col("id").alias("venue_id"), "location_filter")
     joined = _events(spark, d).select("row_id", "venue_id", "location_name").join(v, "venue_id")
-    fits = F.expr("regexp_like(_place, concat('(?i)', _pattern))")
-    return joined.withColumn("_place", text.strip_accents(F.lower("location_name"))).where(F.col("_any") | F.col("location_name").isNull() | fits).select("row_id", "location_name")
+    return joined.where(validate.at_venue(F.col("location_filter"), F.col("location_name"))).select("row_id", "location_name")
 
 
 @_query("""with n as (select row_id, source_url, image, count(image) over (partition by venue_id, source_url, image) same, count(*) over (partition by venue_id, source_url) every from agenda_events)

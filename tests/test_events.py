@@ -155,7 +155,7 @@ def test_ics(spark, tmp_path):
     got = {r.uid: r.vevent.split("\r\n") for r in sinks.ics_lines(e).collect()}
     assert all(len(line.encode()) <= 75 for v in got.values() for line in v)
     one = "\r\n".join(got["u1"]).replace("\r\n ", "").split("\r\n")
-    assert "DTSTART;TZID=Europe/Paris:20260912T220000" in one and "DTEND;TZID=Europe/Paris:20260913T000000" in one and one[1].startswith("SUMMARY:Titre\\, long\; é") and "LOCATION:V - Salle" in one and "STATUS:CANCELLED" in one
+    assert "DTSTART;TZID=Europe/Paris:20260912T220000" in one and "DTEND;TZID=Europe/Paris:20260913T000000" in one and one[1].startswith("SUMMARY:Titre\\, long\\; é") and "LOCATION:V - Salle" in one and "STATUS:CANCELLED" in one
     assert "DTEND;VALUE=DATE:20260915" in got["u2"]
     sinks.write_ics(e, str(tmp_path / "ics"))
     assert spark.read.text(str(tmp_path / "ics")).where("value like 'BEGIN:VEVENT%'").count() == 2
@@ -295,3 +295,9 @@ def test_stream_windows(spark, tmp_path):
     assert {(r.window_start, r.k, r.n) for r in spark.table("q0").collect()} == {(t, "a", 2), (t + datetime.timedelta(hours=1), "a", 1), (t, "b", 1), (t + datetime.timedelta(hours=3), "a", 1)}
     # Sessions come out when the watermark, two hours behind the latest row, has passed them.
     assert {(r.session_start, r.k, r.n) for r in spark.table("q1").collect()} == {(t, "a", 2), (t + datetime.timedelta(minutes=5), "b", 1)}
+
+
+def test_at_venue(spark):
+    rows = [("salle (a|b)", "La SALLE B"), (None, "x"), ("a", None), ("(", "x"), ("café", "au CAFE"), ("nope", "x"), (r"\S+ 1", "été 1")]
+    df = spark.createDataFrame(rows, "p string, l string").select("p", "l", validate.at_venue(F.col("p"), F.col("l")).alias("ok"))
+    assert [r.ok for r in df.collect()] == [True, True, True, True, True, False, True]
