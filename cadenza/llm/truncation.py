@@ -29,6 +29,8 @@ EVIDENCE = 9  # continuations from which an ending can be open
 OPEN, CLOSED = 0.1, 0.3  # share of the occurrences that end a text: below it is open, from it on closed
 LEAST_PAIR = 12  # occurrences from which the last two words are judged, else the last one is
 SPIKE = 3  # a limit's length has so many times the mean of the ten lengths that lie 3 to 12 below it, and so many texts
+PARTIAL = r"\ufffd+\s*$"  # left of a character that a cut by bytes went through
+PARTIAL_BYTES = 3  # at most so many bytes of it stood below the limit, before it was replaced by a sign of 3 bytes
 LIMIT_OPEN = 0.25  # share of open endings at a limit
 STYLE_OPEN = 0.3  # of a source's dotted texts, for the dots to be its mark of cutting
 
@@ -59,26 +61,45 @@ def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | No
 
     broken = (tail.contains("\ufffd") | tail.contains("&")) & tail.rlike(BROKEN)
     tokens = F.regexp_extract_all(F.lower(canonical_form(stem)), F.lit(TOKEN), F.lit(1))
+    partial = tail.contains("\ufffd") & tail.rlike(PARTIAL)
     return cut.select(
         "row", "source", "completed", "said", "mark",
         F.length(raw).alias("chars"),
-        F.octet_length(raw).alias("bytes"),
+        F.octet_length(F.when(partial, F.regexp_replace(raw, PARTIAL, "")).otherwise(raw)).alias("bytes"),
+        partial.alias("partial"),
         (broken | F.right(stem, F.lit(4)).rlike(UNFINISHED) | opened("(", ")") | opened("«", "»")).alias("unfinished"),
         tokens.alias("tokens"),
     ).withColumn("same", F.xxhash64("tokens"))
 
 
+def _lengths(texts: DataFrame, *columns: str) -> DataFrame:
+    """(*columns, unit, len, partial): the lengths of the unmarked texts; partial ones are less than their source's limit
+    in bytes by up to PARTIAL_BYTES."""
+    lengths = texts.where("mark = '' and not completed").select(*columns, "partial", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "len"))
+    return lengths.withColumn("partial", F.col("partial") & (F.col("unit") == "bytes"))
+
+
+def _reaches(length: Column, limit: Column, partial: Column) -> Column:
+    return (length == limit) | (partial & length.between(limit - PARTIAL_BYTES, limit))
+
+
+def _at_limit() -> Column:
+    """Whether a text joined to its source's limits stands at one."""
+    none = F.lit(False)
+    return F.coalesce(_reaches(F.col("chars"), F.col("limit_chars"), none), none) | F.coalesce(_reaches(F.col("bytes"), F.col("limit_bytes"), F.col("partial")), none)
+
+
 def spikes(shaped: DataFrame) -> DataFrame:
     """(source, limit_chars, limit_bytes): where a source's histogram ends in a spike of different texts, by its lengths
     alone. Too wide for a verdict, it keeps a large source's cut texts out of the count of how texts end."""
-    whole = shaped.where("mark = '' and not completed").select("source", "same", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "len"))
-    histogram = whole.groupBy("source", "unit", "len").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("least"), F.max("same").alias("most"))
+    histogram = _lengths(shaped, "source", "same").groupBy("source", "unit", "len", "partial").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("least"), F.max("same").alias("most"))
     top = F.max("len").over(Window.partitionBy("source", "unit"))
-    near = (F.col("len") >= F.col("limit") - 12) & (F.col("len") <= F.col("limit") - 3)
-    at_top = F.col("len") == F.col("limit")
+    at_top = _reaches(F.col("len"), F.col("limit"), F.col("partial"))
+    near = (F.col("len") >= F.col("limit") - 12) & (F.col("len") <= F.col("limit") - 3) & ~at_top
+    different = F.min(F.when(at_top, F.col("least"))) != F.max(F.when(at_top, F.col("most")))
     return (
         histogram.withColumn("limit", top).groupBy("source", "unit", "limit")
-        .agg(F.sum(F.when(at_top, F.col("n")).otherwise(0)).alias("n"), F.max(at_top & (F.col("least") != F.col("most"))).alias("different"), F.sum(F.when(near, F.col("n")).otherwise(0)).alias("below"))
+        .agg(F.sum(F.when(at_top, F.col("n")).otherwise(0)).alias("n"), different.alias("different"), F.sum(F.when(near, F.col("n")).otherwise(0)).alias("below"))
         .where((F.col("n") >= SPIKE) & F.col("different") & (F.col("n") >= SPIKE * F.col("below") / 10))
         .groupBy("source").agg(F.max(F.when(F.col("unit") == "chars", F.col("limit"))).alias("limit_chars"), F.max(F.when(F.col("unit") == "bytes", F.col("limit"))).alias("limit_bytes"))
     )
@@ -89,8 +110,8 @@ def endings(shaped: DataFrame) -> DataFrame:
     it) after ``before`` goes on, how often the text ends with it, and how often with dots; ``before`` is null for any.
     Texts with an explicit mark, and those at a spike of their source, don't count as ends."""
     limit = small_side(spikes(shaped), "spikes")
-    s, at_spike = shaped.alias("s"), F.coalesce((F.col("chars") == F.col("limit_chars")) | (F.col("bytes") == F.col("limit_bytes")), F.lit(False))
-    cut = F.when((F.col("mark") == "explicit") | at_spike, 2).when(F.col("mark") != "", 1).otherwise(0)
+    s = shaped.alias("s")
+    cut = F.when((F.col("mark") == "explicit") | _at_limit(), 2).when(F.col("mark") != "", 1).otherwise(0)
     texts = s.join(limit.alias("l"), F.col("s.source").eqNullSafe(F.col("l.source")), "left").groupBy("tokens", cut.alias("cut")).agg(F.lit(1).alias("_one"))
     n = F.size("tokens")
     each = F.transform(
@@ -119,7 +140,7 @@ def _judged(shaped: DataFrame) -> DataFrame:
     table = endings(shaped)
     n = F.size("tokens")
     tail = shaped.select(
-        "row", "source", "chars", "bytes", "mark", "unfinished", "completed", "said",
+        "row", "source", "chars", "bytes", "partial", "mark", "unfinished", "completed", "said",
         "same",
         F.coalesce(F.get("tokens", n - 2), F.lit("")).alias("before"),
         F.get("tokens", n - 1).alias("word"),
@@ -142,21 +163,23 @@ def _judged(shaped: DataFrame) -> DataFrame:
     )
     formula = e2 + F.col("d2")
     always = F.coalesce((formula >= SUPPORT) & (m2 <= 0.02 * formula), F.lit(False))
-    return joined.select("row", "source", "chars", "bytes", "mark", "unfinished", "completed", "said", "same", ending.alias("ending"), always.alias("always"))
+    return joined.select("row", "source", "chars", "bytes", "partial", "mark", "unfinished", "completed", "said", "same", ending.alias("ending"), always.alias("always"))
 
 
 def limits(judged: DataFrame) -> DataFrame:
-    """(source, unit, limit): the spike at the maximum of a source's length histogram, over its different texts."""
-    whole = judged.where("mark = '' and not completed").select("source", "same", "ending", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "len"))
-    different = whole.groupBy("source", "unit", "len", "same").agg(F.max((F.col("ending") == "open").cast("int")).alias("open"))
-    histogram = different.groupBy("source", "unit", "len").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
+    """(source, unit, limit): the spike at the maximum of a source's length histogram, over its different texts. Partial
+    ones are as good as open."""
+    lengths = _lengths(judged, "source", "same", "ending")
+    different = lengths.groupBy("source", "unit", "len", "partial", "same").agg(F.max((F.col("partial") | (F.col("ending") == "open")).cast("int")).alias("open"))
+    histogram = different.groupBy("source", "unit", "len", "partial").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
     top = F.max("len").over(Window.partitionBy("source", "unit"))
-    near = (F.col("len") >= F.col("limit") - 12) & (F.col("len") <= F.col("limit") - 3)
+    at_top = _reaches(F.col("len"), F.col("limit"), F.col("partial"))
+    near = (F.col("len") >= F.col("limit") - 12) & (F.col("len") <= F.col("limit") - 3) & ~at_top
     return (
         histogram.withColumn("limit", top).groupBy("source", "unit", "limit")
         .agg(
-            F.sum(F.when(F.col("len") == F.col("limit"), F.col("n")).otherwise(0)).alias("n"),
-            F.sum(F.when(F.col("len") == F.col("limit"), F.col("open")).otherwise(0)).alias("open"),
+            F.sum(F.when(at_top, F.col("n")).otherwise(0)).alias("n"),
+            F.sum(F.when(at_top, F.col("open")).otherwise(0)).alias("open"),
             F.sum(F.when(near, F.col("n")).otherwise(0)).alias("below"),
         )
         .where((F.col("n") >= SPIKE) & (F.col("n") >= SPIKE * F.col("below") / 10) & (F.col("open") >= LIMIT_OPEN * F.col("n")))
@@ -180,7 +203,7 @@ def cut_texts(df: DataFrame, row: str, source: str, text: str, completed: str |
         .where((F.col("open") >= 2) & (F.col("open") >= STYLE_OPEN * F.col("n"))).select("source", "mark", F.lit(True).alias("style"))
     )
     styles = small_side(styles, "styles")
-    j, at_limit = judged.alias("j"), F.coalesce((F.col("chars") == F.col("limit_chars")) | (F.col("bytes") == F.col("limit_bytes")), F.lit(False))
+    j, at_limit = judged.alias("j"), _at_limit()
     rows = j.join(limit.alias("l"), F.col("j.source").eqNullSafe(F.col("l.source")), "left").join(
         styles.alias("s"), F.col("j.source").eqNullSafe(F.col("s.source")) & (F.col("j.mark") == F.col("s.mark")), "left"
     )

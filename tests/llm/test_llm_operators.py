@@ -34,6 +34,24 @@ def test_cut_texts(spark):
     assert truncation.cut_texts(df.limit(0), "row_id", "s", "t").count() == 0
 
 
+def test_cut_at_bytes(spark):
+    rows = [(i, "free", t) for i, t in enumerate(titles(60))]
+    ends = ["chansons traditionnelles", "histoire populaire des luttes", "dialogue entre danse contemporaine et percussions"]
+    # Cut at 42 bytes: 30 whole texts of 42, 4 in a character of two, three or four bytes, written with U+FFFD, so 44 bytes.
+    cut = [f"Concert {'bdfgl'[i % 5]}{'aeiou'[i // 5 % 5]}zuzu{i:02d} : {ends[2]}".encode()[:42].decode() for i in range(30)]
+    split = [f"Soir {'bdfgl'[i]}: {ends[0]}".ljust(60, "x").encode()[:42 - k] + c.encode()[:k] for i, (c, k) in enumerate((("é", 1), ("€", 2), ("🎤", 3), ("é", 1)))]
+    split = [b.decode("utf-8", "replace") for b in split]
+    assert {len(t.encode()) for t in cut} == {42} and max(len(t.encode()) for t in split) == 44
+    rows += [(100 + i, "bytes", t) for i, t in enumerate(cut)] + [(200 + i, "bytes", t) for i, t in enumerate(split)]
+    rows += [(300, "bytes", "Zuzu : inconnu de tout le monde ici, qwrtz"), (301, "bytes", "Zuzu : inconnu de tout le monde, qwrt")]
+    df = spark.createDataFrame(rows, "row_id bigint, s string, t string")
+    shaped = truncation._shaped(df, "row_id", "s", "t", None, None)
+    assert [(r.source, r.limit_bytes) for r in truncation.spikes(shaped).collect() if r.source == "bytes"] == [("bytes", 42)]
+    got = {r.row: r.reason for r in truncation.cut_texts(df, "row_id", "s", "t").collect()}
+    assert all(got[100 + i] for i in range(30)) and all(got[200 + i] == "unfinished" for i in range(4))
+    assert got[300] == "limit" and got[301] is None and not any(got[i] for i in range(60))
+
+
 # p3
 
 SAME = ["Вечер поэзии", "👨‍👩‍👧 en famille ❤️", "« œuvre » – l’été… 12 h\tà\n20 h", "μουσική", "", "plain", "éàüç ŷ", "می‌خواهم"]
