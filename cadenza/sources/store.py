@@ -36,23 +36,25 @@ def with_defaults(venues: DataFrame) -> DataFrame:
 
 class Store:
     """Versioned Parquet tables under one folder. A version is visible once its pointer is written, so a run that dies
-    leaves the last whole one; the pointer is itself a one-row table, so any file system that Spark knows will do."""
+    leaves the last whole one; the pointer is itself a one-row table, so any file system that Spark knows will do. Of two
+    versions with one run's number the later written one counts."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _current(self, table: str) -> str | None:
+    def _current(self, table: str, before: int | None = None) -> str | None:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}/_pointers")
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(path):
             return None
-        names = sorted(s.getPath().getName() for s in fs.listStatus(path))
-        return f"{self.folder}/{table}/{names[-1].split('~')[1]}" if names else None
+        pointers = [(*s.getPath().getName().split("~"), s.getModificationTime()) for s in fs.listStatus(path)]
+        runs = [(int(run), written, version) for run, version, written in pointers if before is None or int(run) < before]
+        return f"{self.folder}/{table}/{max(runs)[2]}" if runs else None
 
-    def read(self, table: str, schema: T.StructType | str) -> DataFrame:
-        """The last version; an empty table where there is none."""
-        at = self._current(table)
+    def read(self, table: str, schema: T.StructType | str, before: int | None = None) -> DataFrame:
+        """The last version, or the last of the runs numbered below ``before``; an empty table where there is none."""
+        at = self._current(table, before)
         kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
         return self.spark.read.schema(kind).parquet(at) if at else self.spark.createDataFrame([], kind)
 

@@ -15,11 +15,12 @@ _SEEN = "producer string, lo bigint, hi bigint, n bigint"
 
 def exactly_once_stream(stream: DataFrame, identifier: str, received: str, row: str, store: Store, out: str, checkpoint: str) -> StreamingQuery:
     """Appends to ``out`` the first delivery of each message; what was seen before is kept as ranges in ``store``, and
-    malformed identifiers as a keyed table. A batch that is run again reads the state from before it."""
+    malformed identifiers as a keyed table. A batch that is run again reads the state from before it: that of the last
+    batch with a smaller number, so ``store``, ``out`` and ``checkpoint`` belong together."""
 
     def batch(df: DataFrame, number: int) -> None:
-        seen = store.read("seen", _SEEN)
-        odd = store.read("odd", "id string")
+        seen = store.read("seen", _SEEN, before=number)
+        odd = store.read("odd", "id string", before=number)
         producer, _ = delivery.split_identifier(F.col(identifier))
         fresh = delivery.not_seen(df, identifier, seen).join(odd.withColumnRenamed("id", identifier), identifier, "left_anti").persist()
         try:

@@ -285,6 +285,30 @@ def test_stream(spark, tmp_path):
     assert [(r.producer, r.lo, r.hi) for r in store.read("seen", "producer string, lo bigint, hi bigint, n bigint").collect()] == [("16:1300", 1, 3)]
 
 
+@pytest.mark.parametrize("written", [("odd",), ("odd", "seen")])
+def test_stream_replay(spark, tmp_path, written):
+    """The query died after the state of batch 1 was written, wholly or in part, and before the batch was committed."""
+    source, store = tmp_path / "in", Store(spark, str(tmp_path / "state"))
+    schema, t = "id string, received timestamp, row bigint", datetime.datetime(2026, 1, 1)
+
+    def deliver(first, ids):
+        if ids:
+            spark.createDataFrame([(x, t, first + k) for k, x in enumerate(ids)], schema).coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        agenda.exactly_once_stream(stream, "id", "received", "row", store, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
+        return sorted(r.row for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert deliver(0, ["1300000000000001", "odd"]) == [0, 1]
+    assert deliver(10, ["1300000000000001", "1300000000000002", "odd", "strange"]) == [0, 1, 11, 13]
+    for table in {"odd", "seen"} - set(written):
+        for pointer in (tmp_path / "state" / table / "_pointers").glob("*000000000001~*"):
+            pointer.unlink()
+    for name in ("1", ".1.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink(missing_ok=True)
+    assert deliver(20, []) == [0, 1, 11, 13]
+    assert deliver(30, ["1300000000000002", "1300000000000003", "strange"]) == [0, 1, 11, 13, 31]
+
+
 def test_stream_windows(spark, tmp_path):
     t = datetime.datetime(2026, 1, 1, 10)
     rows = [(t + datetime.timedelta(minutes=m), k) for m, k in ((0, "a"), (10, "a"), (70, "a"), (5, "b"), (200, "a"))]
