@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 LEVELS = 5
 MIN_WORDS = 70
 TRAINING_DOCUMENTS = 1_000  # labelled documents the models are fitted on, the smallest hashes of their ids
-TRAINING_CHARS = 20_000  # of each of these, the first characters alone are learned from; scoring takes whole texts
 HASHED = 1 << 16
 CACHED_WORDS = 400_000
 AT_ONCE_CHARS = 4_000_000  # texts scored at once hold about so many characters
@@ -187,7 +186,7 @@ class ReadingModel:
 
 def fit(texts: list[str], targets: np.ndarray, folds: int = 3) -> ReadingModel:
     """targets: a distribution over levels for each text."""
-    docs = [sentences(t[:TRAINING_CHARS]) for t in texts]
+    docs = [sentences(t) for t in texts]
     kept = [i for i, d in enumerate(docs) if d]
     docs, targets = [docs[i] for i in kept], targets[kept]
     least = 3 if len(docs) >= 60 else 2 if len(docs) >= 10 else 1
@@ -214,9 +213,10 @@ def label_targets(labels: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) -> ReadingModel:
-    """Fitted on at most ``limit`` labelled documents, those with the smallest hashes of their ids."""
+    """Fitted on at most ``limit`` labelled documents, those with the smallest hashes of their ids,
+    each of them whole."""
     chosen = label_targets(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    texts = documents.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, TRAINING_CHARS).alias("text"))
+    texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
     rows = texts.join(F.broadcast(chosen), "doc_id").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     if not rows:

@@ -217,3 +217,13 @@ def test_reading_levels(spark):
     assert all(abs(x.p1 + x.p2 + x.p3 + x.p4 + x.p5 - 1) < 1e-6 for x in got.values())
     with pytest.raises(ValueError):
         reading.train(documents.select("doc_id", "text"), spark.createDataFrame([], "doc_id bigint, rater string, reading_level int"))
+
+
+def test_reading_level_of_long_labelled_documents(spark):
+    same = "Le texte commence ici. " * 1000  # over 20,000 characters that all of them share
+    pool = ["Tu veux rire ou chanter ? ", "La restructuration conditionne la gouvernance. "]
+    docs = [(i, same + pool[i % 2] * 300) for i in range(20)]
+    labels = spark.createDataFrame([(i, "r", 1 + 4 * (i % 2)) for i in range(12)], "doc_id bigint, rater string, reading_level int")
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {x.doc_id: x.reading_level for x in reading.levels(documents, "doc_id", "text", reading.train(documents, labels)).collect()}
+    assert got == {i: 1 + 4 * (i % 2) for i in range(20)}
