@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 LEVELS = 5
 MIN_WORDS = 70
 TRAINING_DOCUMENTS = 1_000  # labelled documents the models are fitted on, the smallest hashes of their ids
+SUPPORT = 2  # labelled documents in which a feature must stand
 HASHED = 1 << 16
 CACHED_WORDS = 400_000
 AT_ONCE_CHARS = 4_000_000  # texts scored at once hold about so many characters
@@ -110,7 +111,7 @@ class SentenceModel:
         return _softmax(sums / np.sqrt(sizes)[:, None] + self.constant), sizes
 
 
-def fit_sentences(docs: list[list[list[str]]], targets: np.ndarray, least: int, penalty: float = 2e-6, steps: int = 120) -> SentenceModel:
+def fit_sentences(docs: list[list[list[str]]], targets: np.ndarray, penalty: float = 2e-6, steps: int = 120) -> SentenceModel:
     """Every sentence has its document's target and its share of the document's words as weight."""
     index: dict[str, int] = {}
     word_at, sizes, weight, owner = [], [], [], []
@@ -131,7 +132,7 @@ def fit_sentences(docs: list[list[list[str]]], targets: np.ndarray, least: int,
             for h in features[index[w]]:
                 seen[h].add(d)
     known = np.zeros(HASHED, bool)
-    known[[h for h, ds in seen.items() if len(ds) >= least]] = True
+    known[[h for h, ds in seen.items() if len(ds) >= SUPPORT]] = True
     used = np.flatnonzero(known)  # the model is fitted over these alone
     place = np.full(HASHED, -1)
     place[used] = np.arange(len(used))
@@ -185,21 +186,18 @@ class ReadingModel:
 
 
 def fit(texts: list[str], targets: np.ndarray, folds: int = 3) -> ReadingModel:
-    """targets: a distribution over levels for each text."""
+    """targets: a distribution over levels for each text. Always calibrated on held-out folds, as many as there are texts
+    where these are fewer; a single text leaves none to hold out."""
     docs = [sentences(t) for t in texts]
     kept = [i for i, d in enumerate(docs) if d]
     docs, targets = [docs[i] for i in kept], targets[kept]
-    least = 3 if len(docs) >= 60 else 2 if len(docs) >= 10 else 1
+    folds = min(folds, len(docs))
+    model = fit_sentences(docs, targets)
     held = np.zeros((len(docs), 3 * LEVELS + 1))
-    if len(docs) >= 2 * folds:
-        for f in range(folds):
-            rest = [i for i in range(len(docs)) if i % folds != f]
-            part = [i for i in range(len(docs)) if i % folds == f]
-            held[part] = document_features(fit_sentences([docs[i] for i in rest], targets[rest], least), [docs[i] for i in part])
-        model = fit_sentences(docs, targets, least)
-    else:
-        model = fit_sentences(docs, targets, least)
-        held = document_features(model, docs)
+    for f in range(folds):
+        rest = [i for i in range(len(docs)) if i % folds != f] or [0]
+        part = [i for i in range(len(docs)) if i % folds == f]
+        held[part] = document_features(fit_sentences([docs[i] for i in rest], targets[rest]), [docs[i] for i in part])
     return ReadingModel(model, _fit(held, targets, np.ones(len(docs)), 1e-3, 1000))
 
 

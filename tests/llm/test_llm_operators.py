@@ -227,3 +227,15 @@ def test_reading_level_of_long_labelled_documents(spark):
     documents = spark.createDataFrame(docs, "doc_id bigint, text string")
     got = {x.doc_id: x.reading_level for x in reading.levels(documents, "doc_id", "text", reading.train(documents, labels)).collect()}
     assert got == {i: 1 + 4 * (i % 2) for i in range(20)}
+
+
+@pytest.mark.parametrize("n", [1, 4, 12, 70])
+def test_reading_model_is_fitted_alike_for_all_sizes(monkeypatch, n):
+    import numpy as np
+
+    held, calls = [], reading.document_features
+    monkeypatch.setattr(reading, "document_features", lambda model, docs: held.append((model, docs)) or calls(model, docs))
+    texts = [f"Commun {'rare' if i in (1, 2) else ''} seul{chr(97 + i // 26)}{chr(97 + i % 26)}." for i in range(n)]
+    model = reading.fit(texts, np.eye(5)[np.arange(n) % 5])
+    assert sum(len(docs) for _, docs in held) == n and (n == 1 or all(m is not model.sentence for m, _ in held))
+    assert [bool(model.sentence.known[reading._hash(w)]) for w in ("wcommun", "wrare", "wseulaa")] == [n > 1, n > 2, False]
