@@ -171,14 +171,14 @@ def instants(df: DataFrame, value: str, zone: str, received: str, out: str = "ut
     the earlier instant of a repeated time, the offset before the jump for a skipped one. Numeric dates have the day
     first unless the year comes first. Without a year the first such date on or after the UTC day of ``received`` is
     meant (null without it). Of a span the start counts. Null, empty, unreadable and impossible values, and dates
-    without a time of day, give null. Texts over 100 characters are never instants.
+    without a time of day, give null.
     """
     fields = ("kind", "y", "m", "d", "H", "M", "S", "f", "mw", "ap", "zw", "off")
     raw, zone_name, received_at = F.col("raw"), F.col("zone"), F.col("received")
     rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != out])  # apart, so that no name clashes
     step = df.select(rest.alias("rest"), F.col(value).alias("raw"), F.col(zone).alias("zone"), F.col(received).alias("received"))
-    step = step.withColumn("_v", F.when(F.length(raw) <= 100, _clean(raw)))
-    # Longer texts, and texts without a digit, are not tokenised.
+    step = step.withColumn("_v", _clean(raw))
+    # Texts without a digit are not tokenised.
     step = step.withColumn("_mask", shape_mask(F.when(F.col("_v").rlike("[0-9]"), F.col("_v")))).withColumn("_spec", F.expr(_SPEC_OF_MASK))
     step = step.withColumn("_n", F.when(F.col("_spec").isNotNull(), F.regexp_extract_all(F.col("_v"), F.lit("([0-9]+)"), F.lit(1))))
     step = step.withColumn("_w", F.when(F.col("_spec").isNotNull(), F.regexp_extract_all(F.col("_v"), F.lit(r"(\p{L}+)"), F.lit(1))))

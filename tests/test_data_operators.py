@@ -137,6 +137,13 @@ def test_instants(spark):
     assert timestamps.instants(spark.createDataFrame([], "v string, z string, r timestamp"), "v", "z", "r").count() == 0
 
 
+def test_instants_of_long_texts(spark):
+    texts = ["2026-10-01T20:00:00Z", " " * 200 + "2026-10-01T20:00:00Z" + "\n" * 200, "2026-10-01" + " " * 150 + "20:00:00", "x" * 200 + " 2026-10-01T20:00:00Z"]
+    df = spark.createDataFrame([(i, t, "UTC", None) for i, t in enumerate(texts)], "i int, v string, z string, r timestamp")
+    got = {x.i: x.utc_us for x in timestamps.instants(df, "v", "z", "r").collect()}
+    assert got[0] is not None and got[1] == got[2] == got[0] and got[3] is None
+
+
 @pytest.mark.parametrize("zone", ["Europe/Paris", "America/Toronto", "Africa/Tunis", "Australia/Lord_Howe", "Africa/Casablanca", "Europe/Dublin"])
 def test_zone_tables(zone):
     import zoneinfo
