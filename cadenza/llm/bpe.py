@@ -2,8 +2,8 @@
 
 The merges of a word are folded by Spark's higher-order functions over the array of its bytes' ids, with the vocabulary's
 rank map as a literal: pairs of ids are hashed into buckets, so a lookup is an index and a short scan. The corpus's most
-frequent distinct words (over all documents) are folded once and become a second literal map; in each document only its
-other distinct words are folded. Nothing but the word counts is shuffled. Words over ``LONG`` bytes, for which a fold
+frequent distinct words (over all documents) are folded once and become a second literal map; a document is walked in
+chunks of words, and in each only its other distinct words are folded, once, so that time grows with the text. Nothing but the word counts is shuffled. Words over ``LONG`` bytes, for which a fold
 would take quadratic time, are merged with a heap in Arrow batches.
 """
 
@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.text import let
 from cadenza.tables import spread
 
 DEFAULT_VOCABULARY = os.environ.get("CADENZA_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.json"
@@ -28,6 +29,7 @@ BUCKETS = 16_384
 HOT_WORDS = 32_768  # at most so many distinct words are collected, each of at most HOT_BYTES
 HOT_BYTES = 64
 LONG = 512
+CHUNK_WORDS = 256  # a text is walked in pieces of so many words, within which its other words are looked up
 NONE = 2**31 - 1
 
 
@@ -98,20 +100,25 @@ def _literal(value: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), kind)
 
 
-def _fold(vocabulary: Vocabulary) -> Callable[[Column], Column]:
+def _tables(vocabulary: Vocabulary) -> list[Column]:
+    """The rank map and the ids of the bytes, as fields of a struct. It stands in an expression once, bound by ``let``: each
+    copy would be written out in the plan's text and sent with every task."""
     keys: list[list[int]] = [[] for _ in range(BUCKETS)]
     values: list[list[int]] = [[] for _ in range(BUCKETS)]
     for pair, merged in vocabulary.merges.items():
         at = _bucket(pair >> 16, pair & 65535)
         keys[at].append(pair)
         values[at].append(merged)
-    key_map, value_map = _literal(keys, "array<array<bigint>>"), _literal(values, "array<array<int>>")
-    byte_ids = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
+    return [_literal(keys, "array<array<bigint>>").alias("keys"), _literal(values, "array<array<int>>").alias("values"), _literal(vocabulary.byte_ids, "array<int>").alias("bytes")]
+
+
+def _ids_of(tables: Column) -> Callable[[Column], Column]:
+    """The fold of a word's bytes, over the bound ``_tables``."""
 
     def rank(a: Column, b: Column) -> Column:
         at = (a * 31 + b * 7919) % BUCKETS
-        place = F.array_position(F.get(key_map, at), a.cast("bigint") * 65536 + b) - 1
-        return F.coalesce(F.get(F.get(value_map, at), place.cast("int")), F.lit(NONE))
+        place = F.array_position(F.get(tables["keys"], at), a.cast("bigint") * 65536 + b) - 1
+        return F.coalesce(F.get(F.get(tables["values"], at), place.cast("int")), F.lit(NONE))
 
     def step(state: Column, _: Column) -> Column:
         t, r = state.getField("t"), state.getField("r")
@@ -131,7 +138,7 @@ def _fold(vocabulary: Vocabulary) -> Callable[[Column], Column]:
     def ids_of(word: Column) -> Column:
         digits = F.hex(F.encode(word, "UTF-8"))
         n = F.octet_length(word)
-        start = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(byte_ids, F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
+        start = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(tables["bytes"], F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
         pairs = lambda t: F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(F.get(t, i), F.get(t, i + 1)))
         begin = F.transform(F.array(start), lambda t: F.struct(t.alias("t"), pairs(t).alias("r")))
         folded = F.aggregate(F.sequence(F.lit(1), n - 1), F.get(begin, F.lit(0)), step, lambda s: s.getField("t"))
@@ -153,42 +160,55 @@ def _place(word: Column) -> Column:
     return F.pmod(F.hash(word), F.lit(BUCKETS))
 
 
-def hot_words(df: DataFrame, text: str, ids_of: Callable[[Column], Column], k: int = HOT_WORDS) -> list[tuple[int, str, list[int]]]:
+def hot_words(df: DataFrame, text: str, tables: list[Column], k: int = HOT_WORDS) -> list[tuple[int, str, list[int]]]:
     """(bucket, word, ids) of the k most frequent words of the corpus: a cache of bounded size, on which no result depends."""
     top = word_counts(df, text).where((F.octet_length("word") <= HOT_BYTES) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(k)
-    return [(r.at, r.word, r.ids) for r in top.repartition("word").select(_place(F.col("word")).alias("at"), "word", ids_of(F.col("word")).alias("ids")).collect()]
+    ids = let(F.struct(*tables), lambda t: _ids_of(t)(F.col("word")))
+    return [(r.at, r.word, r.ids) for r in top.repartition("word").select(_place(F.col("word")).alias("at"), "word", ids.alias("ids")).collect()]
 
 
 def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, out: str = "ids") -> DataFrame:
     """(key, ids): the ids of each whole text, without special tokens; their strings are ordinary text. Null and empty
     texts give the empty list. The vocabulary is read on the driver alone."""
     vocabulary = Vocabulary.read(path)
-    ids_of = _fold(vocabulary)
+    tables = _tables(vocabulary)
     df = spread(df.select(key, text))
     words: list[list[str]] = [[] for _ in range(BUCKETS)]
     ids: list[list[list[int]]] = [[] for _ in range(BUCKETS)]
-    for at, word, word_ids in hot_words(df, text, ids_of):
+    for at, word, word_ids in hot_words(df, text, tables):
         words[at].append(word)
         ids[at].append(word_ids)
-    word_map, id_map = _literal(words, "array<array<string>>"), _literal(ids, "array<array<array<int>>>")
-
-    def hot(w: Column) -> Column:
-        return F.get(F.get(id_map, _place(w)), (F.array_position(F.get(word_map, _place(w)), w) - 1).cast("int"))
-
+    tables += [_literal(words, "array<array<string>>").alias("hot_words"), _literal(ids, "array<array<array<int>>>").alias("hot_ids")]
+    empty = F.array().cast("array<array<int>>")
     split = df.select(F.col(key), split_words(F.col(text)).alias("_w"))
-    rare = split.select("*", F.filter(F.array_distinct("_w"), lambda w: hot(w).isNull()).alias("_rare"))
-    sorted_out = rare.select(
-        "*",
-        F.filter("_rare", lambda w: F.octet_length(w) <= LONG).alias("_short"),
-        F.filter("_rare", lambda w: F.octet_length(w) > LONG).alias("_long"),
-    )
-    long_ids = _long_words(vocabulary)(F.when(F.size("_long") > 0, F.col("_long")))
-    known = sorted_out.select(
-        key, "_w", F.concat("_short", "_long").alias("_names"),
-        F.concat(F.transform("_short", ids_of), F.coalesce(long_ids, F.array().cast("array<array<int>>"))).alias("_ids"),
-    )
-    found = F.flatten(F.transform("_w", lambda w: F.coalesce(hot(w), F.get(F.col("_ids"), (F.array_position(F.col("_names"), w) - 1).cast("int")))))
-    return known.select(key, F.coalesce(found, F.array().cast("array<int>")).alias(out))
+    # Words for which a fold would take quadratic time leave for Python once a document; most documents have none.
+    long = F.filter(F.array_distinct("_w"), lambda w: F.octet_length(w) > LONG)
+    parts = split.select(key, "_w", long.alias("_long"))
+    parts = parts.withColumn("_long_ids", F.coalesce(_long_words(vocabulary)(F.when(F.size("_long") > 0, F.col("_long"))), empty))
+
+    def place(words: Column, w: Column) -> Column:
+        return (F.array_position(words, w) - 1).cast("int")
+
+    def hot(t: Column, w: Column) -> Column:
+        return F.get(F.get(t["hot_ids"], _place(w)), place(F.get(t["hot_words"], _place(w)), w))
+
+    def chunk_ids(t: Column, chunk: Column) -> Column:
+        rare = F.filter(F.array_distinct(chunk), lambda w: hot(t, w).isNull() & (F.octet_length(w) <= LONG))
+        # Bound as values before the words are walked: named inside the walk, they would be folded again for every word.
+        bound = let(rare, lambda names: F.struct(names.alias("names"), F.transform(names, _ids_of(t)).alias("ids")))
+
+        def walk(known: Column) -> Column:
+            own = lambda w: F.get(known["ids"], place(known["names"], w))
+            long_ids = lambda w: F.get(F.col("_long_ids"), place(F.col("_long"), w))
+            return F.flatten(F.transform(chunk, lambda w: F.coalesce(hot(t, w), own(w), long_ids(w))))
+
+        return let(bound, walk)
+
+    n = F.size("_w")
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(CHUNK_WORDS))).otherwise(F.array().cast("array<int>"))
+    chunks = F.transform(starts, lambda at: F.slice(F.col("_w"), at + 1, F.lit(CHUNK_WORDS)))
+    found = let(F.struct(*tables), lambda t: F.flatten(F.transform(chunks, lambda c: chunk_ids(t, c))))
+    return parts.select(key, F.coalesce(found, F.array().cast("array<int>")).alias(out))
 
 
 def decode(ids: Column, path: str = DEFAULT_VOCABULARY) -> Column:
