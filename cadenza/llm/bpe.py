@@ -25,7 +25,7 @@ from cadenza.tables import spread
 DEFAULT_VOCABULARY = os.environ.get("CADENZA_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.json"
 # Fixed value: the published pattern that splits text before the merges; (?U) gives \s its Unicode meaning.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BUCKETS = 16_384
+BUCKETS = 16_384  # a power of two
 HOT_WORDS = 32_768  # at most so many distinct words are collected, each of at most HOT_BYTES
 HOT_BYTES = 64
 LONG = 512
@@ -62,7 +62,7 @@ class Vocabulary:
 
 
 def _bucket(a: int, b: int) -> int:
-    return (a * 31 + b * 7919) % BUCKETS
+    return (a * 31 + b * 7919) & (BUCKETS - 1)
 
 
 def merge_long(data: bytes, vocabulary: Vocabulary) -> list[int]:
@@ -116,7 +116,7 @@ def _ids_of(tables: Column) -> Callable[[Column], Column]:
     """The fold of a word's bytes, over the bound ``_tables``."""
 
     def rank(a: Column, b: Column) -> Column:
-        at = (a * 31 + b * 7919) % BUCKETS
+        at = (a * 31 + b * 7919).bitwiseAND(BUCKETS - 1)
         place = F.array_position(F.get(tables["keys"], at), a.cast("bigint") * 65536 + b) - 1
         return F.coalesce(F.get(F.get(tables["values"], at), place.cast("int")), F.lit(NONE))
 
@@ -157,7 +157,7 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def _place(word: Column) -> Column:
-    return F.pmod(F.hash(word), F.lit(BUCKETS))
+    return F.hash(word).bitwiseAND(BUCKETS - 1)
 
 
 def hot_words(df: DataFrame, text: str, tables: list[Column], k: int = HOT_WORDS) -> list[tuple[int, str, list[int]]]:
@@ -173,12 +173,10 @@ def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, o
     vocabulary = Vocabulary.read(path)
     tables = _tables(vocabulary)
     df = spread(df.select(key, text))
-    words: list[list[str]] = [[] for _ in range(BUCKETS)]
-    ids: list[list[list[int]]] = [[] for _ in range(BUCKETS)]
+    words: list[dict[str, list[int]]] = [{} for _ in range(BUCKETS)]
     for at, word, word_ids in hot_words(df, text, tables):
-        words[at].append(word)
-        ids[at].append(word_ids)
-    tables += [_literal(words, "array<array<string>>").alias("hot_words"), _literal(ids, "array<array<array<int>>>").alias("hot_ids")]
+        words[at][word] = word_ids
+    tables.append(_literal(words, "array<map<string,array<int>>>").alias("hot"))
     empty = F.array().cast("array<array<int>>")
     split = df.select(F.col(key), split_words(F.col(text)).alias("_w"))
     # Words for which a fold would take quadratic time leave for Python once a document; most documents have none.
@@ -190,7 +188,7 @@ def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, o
         return (F.array_position(words, w) - 1).cast("int")
 
     def hot(t: Column, w: Column) -> Column:
-        return F.get(F.get(t["hot_ids"], _place(w)), place(F.get(t["hot_words"], _place(w)), w))
+        return F.try_element_at(F.get(t["hot"], _place(w)), w)
 
     def chunk_ids(t: Column, chunk: Column) -> Column:
         rare = F.filter(F.array_distinct(chunk), lambda w: hot(t, w).isNull() & (F.octet_length(w) <= LONG))
@@ -206,8 +204,8 @@ def encode(df: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY, o
 
     n = F.size("_w")
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(CHUNK_WORDS))).otherwise(F.array().cast("array<int>"))
-    chunks = F.transform(starts, lambda at: F.slice(F.col("_w"), at + 1, F.lit(CHUNK_WORDS)))
-    found = let(F.struct(*tables), lambda t: F.flatten(F.transform(chunks, lambda c: chunk_ids(t, c))))
+    chunk = lambda at: F.slice(F.col("_w"), at + 1, F.lit(CHUNK_WORDS))
+    found = let(F.struct(*tables), lambda t: F.flatten(F.transform(starts, lambda at: let(chunk(at), lambda c: chunk_ids(t, c)))))
     return parts.select(key, F.coalesce(found, F.array().cast("array<int>")).alias(out))
 
 

@@ -1,16 +1,24 @@
 """Records that are equal but for white space, letter case, punctuation or field order.
 
 Each (field name, normalised value) pair is hashed twice; the sums of the hashes over a record's fields are its
-fingerprint, whatever their order. Fingerprints are grouped with partial aggregation, and every member's normalised
-fields are compared with those of the group's first record: nothing is sorted, and no two different records are
-joined by an accident of hashing.
+fingerprint, whatever their order.
+
+Plan: (1) every Arrow batch finds its own groups by fingerprint and verifies their fields, so a hot group leaves one
+head row for each batch, and beside it narrow rows that name their head; (2) one shuffle puts the heads by fingerprint and
+the narrow rows by their head, of which no one has more than a batch holds; (3) heads are grouped by a hash aggregate
+whose keys are the whole fields, which verifies that they are equal; (4) the few heads that are themselves copies hand
+their group's first id on to their narrow rows by a hash join. The table is read once and nothing is sorted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,36 +40,89 @@ def fingerprint(fields: dict[str, Column]) -> tuple[Column, Column]:
 
 
 def _keyed(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
-    values = df.select(F.col(row).alias("_id"), *[letters_and_digits(F.col(c)).alias(f"_f{i}") for i, c in enumerate(fields)])
+    values = df.select(F.col(row).cast("bigint").alias("_id"), *[letters_and_digits(F.col(c)).alias(f"_f{i}") for i, c in enumerate(fields)])
     a, b = fingerprint({c: F.col(f"_f{i}") for i, c in enumerate(fields)})
     return values.withColumns({"_a": a, "_b": b})
 
 
+def local_heads(ids: np.ndarray, mixed: np.ndarray, fields: Sequence[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """(the place of each row's head within the batch, how many rows a head stands for). The head is the group's smallest
+    id. A row whose fields differ from those of its fingerprint's head is its own head."""
+    code, _ = pd.factorize(mixed)  # by hashing, in order of appearance
+    least = np.full(code.max(initial=-1) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, code, ids)
+    place = np.zeros(len(least), np.int64)
+    smallest = np.flatnonzero(ids == least[code])
+    place[code[smallest]] = smallest
+    head = place[code]
+    other = np.flatnonzero(head != np.arange(len(ids)))
+    if len(other):
+        same = np.ones(len(other), bool)
+        for f in fields:
+            mine, its = f.take(pa.array(other)), f.take(pa.array(head[other]))
+            equal = pc.fill_null(pc.equal(mine, its), False).to_numpy(zero_copy_only=False)
+            same &= equal | (mine.is_null().to_numpy(zero_copy_only=False) & its.is_null().to_numpy(zero_copy_only=False))
+        head[other[~same]] = other[~same]
+    return head, np.bincount(head, minlength=len(ids))
+
+
+def _combine(n_fields: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    names = [*[f"_f{i}" for i in range(n_fields)], "_a", "_b", "_id", "_n", "_head"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = lambda c, b=batch: b.column(c).to_numpy(zero_copy_only=False)
+            fields = [batch.column(f"_f{i}") for i in range(n_fields)]
+            ids = column("_id")
+            head, n = local_heads(ids, column("_a").view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + column("_b").view(np.uint64), fields)
+            own = head == np.arange(len(ids))
+            heads, rest = pa.array(np.flatnonzero(own)), np.flatnonzero(~own)
+            void = pa.nulls(len(heads), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[f.take(heads) for f in fields], *[batch.column(c).take(heads) for c in ("_a", "_b", "_id")], pa.array(n[own]), void], names)
+            if len(rest):
+                void = pa.nulls(len(rest), pa.int64())
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(rest), pa.string())] * n_fields, void, void, pa.array(ids[rest]), void, pa.array(ids[head[rest]])], names)
+
+    return run
+
+
+def _combined(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
+    """Heads (fields, fingerprint, _id, _n rows of their batch) and narrow rows (_id, _head), placed by ``_place``."""
+    texts = ", ".join(f"_f{i} string" for i in range(len(fields)))
+    rows = _keyed(df, row, fields).mapInArrow(_combine(len(fields)), f"{texts}, _a bigint, _b bigint, _id bigint, _n bigint, _head bigint")
+    place = F.when(F.col("_head").isNull(), F.xxhash64("_a", "_b")).otherwise(F.xxhash64("_head"))
+    return rows.withColumn("_place", place).repartition("_place")
+
+
+def _grouped(combined: DataFrame, n_fields: int) -> DataFrame:
+    keys = ["_place", "_a", "_b", *[f"_f{i}" for i in range(n_fields)]]
+    return combined.where("_head is null").groupBy(*keys).agg(F.min("_id").alias("first_id"), F.sum("_n").alias("copies"), F.count(F.lit(1)).alias("_heads"))
+
+
 def groups(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
-    """One record per group: ``first_id`` and ``copies`` (1 for a record without copies). Null equals null, not ''."""
-    members = [f"_f{i}" for i in range(len(fields))]
-    return _keyed(df, row, fields).groupBy("_a", "_b", *members).agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).select("first_id", "copies")
+    """One record per group: ``first_id`` and ``copies`` (1 for a record without copies). Null equals null, not ''. An
+    empty table has no groups."""
+    return _grouped(_combined(df, row, fields), len(fields)).select("first_id", "copies")
 
 
 def copies(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
-    """(first_id, copy_id): a row for each record beyond the first of its group; ``row`` must be unique and not null.
-
-    Null equals null and nothing else. Groups are counted by fingerprint first, so only members of groups of two or more
-    go on; a hot group's members are spread by the skew handling of the sort-merge join, whose other side has one row
-    for each group. A member that shares the fingerprint alone is grouped again by its whole fields.
-    """
-    members = [f"_f{i}" for i in range(len(fields))]
-    keyed = _keyed(df, row, fields)
-    first = (
-        keyed.groupBy("_a", "_b").agg(F.min(F.struct("_id", *members)).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        .select(F.col("_a").alias("_ga"), F.col("_b").alias("_gb"), "_first")
-    )
-    joined = keyed.join(first, (F.col("_a") == F.col("_ga")) & (F.col("_b") == F.col("_gb")))
-    equal = reduce(Column.__and__, [F.col(m).eqNullSafe(F.col(f"_first.{m}")) for m in members])
-    found = joined.where(equal & (F.col("_id") != F.col("_first._id"))).select(F.col("_first._id").alias("first_id"), F.col("_id").alias("copy_id"))
-    # Different records of one fingerprint: hardly ever any, but grouped exactly.
-    strays = joined.where(~equal).select("_id", *members)
-    heads = strays.groupBy(*members).agg(F.min("_id").alias("first_id"))
-    same = reduce(Column.__and__, [F.col(f"s.{m}").eqNullSafe(F.col(f"h.{m}")) for m in members])
-    rest = strays.alias("s").join(heads.alias("h"), same).where("s._id <> h.first_id").select("first_id", F.col("s._id").alias("copy_id"))
-    return found.unionByName(rest)
+    """(first_id, copy_id): a row for each record beyond the first of its group; ``row`` must be a unique whole number and
+    not null. Null equals null and nothing else; columns other than those named are ignored."""
+    combined = _combined(df, row, fields)
+    several = _grouped(combined, len(fields)).where("_heads > 1").hint("shuffle_hash").alias("g")
+    heads = combined.where("_head is null").alias("h")
+
+    def same(c: str) -> Column:
+        # Within a place; written so that it isn't taken for a key of the join, by which both sides would be shuffled again.
+        h, g = F.col(f"h.{c}"), F.col(f"g.{c}")
+        return F.coalesce(h.between(g, g), h.isNull() & g.isNull())
+
+    equal = reduce(Column.__and__, [same(c) for c in ("_a", "_b", *[f"_f{i}" for i in range(len(fields))])])
+    known = heads.join(several, (F.col("h._place") == F.col("g._place")) & equal).where("h._id <> g.first_id").select(F.col("h._id").alias("_local"), F.col("h._n").alias("_n"), "first_id")
+    handed = known.where("_n > 1").select("_local", "first_id", F.xxhash64("_local").alias("_at")).hint("shuffle_hash")
+    narrow = combined.where("_head is not null").select("_place", "_head", "_id")
+    mine = (F.col("_place") == F.col("_at")) & F.col("_head").between(F.col("_local"), F.col("_local"))
+    rest = narrow.join(handed, mine, "left").select(F.coalesce("first_id", "_head").alias("first_id"), F.col("_id").alias("copy_id"))
+    return known.select("first_id", F.col("_local").alias("copy_id")).unionByName(rest)
