@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -23,14 +24,33 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "cadenza-shared")
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Writes a table into the shared folder and reads it back: a cut in the lineage that survives lost executors."""
+    """Writes a table into the shared folder and reads it back: a cut in the lineage that survives lost executors. It stays
+    until ``discard`` is called or the driver's process ends, as any number of plans may still read it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard() -> None:
+    """Deletes all tables that ``written`` has made in this process; plans that read them can't be run any more."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001, S112 - a session that is gone can't delete; the shared folder's owner may
+            continue
+
+
+atexit.register(discard)
+
+
 def small_side(df: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
     """A join's side that is small as a rule but has no bound: written once, counted, and broadcast up to ``rows`` rows;
     beyond that the planner joins it by shuffling."""
