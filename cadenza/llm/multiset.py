@@ -4,10 +4,10 @@ Each (field name, normalised value) pair is hashed twice; the sums of the hashes
 fingerprint, whatever their order.
 
 Plan: (1) every Arrow batch finds its own groups by fingerprint and verifies their fields, so a hot group leaves one
-head row for each batch, and beside it narrow rows that name their head; (2) one shuffle puts the heads by fingerprint and
-the narrow rows by their head, of which no one has more than a batch holds; (3) heads are grouped by a hash aggregate
-whose keys are the whole fields, which verifies that they are equal; (4) the few heads that are themselves copies hand
-their group's first id on to their narrow rows by a hash join. The table is read once and nothing is sorted.
+head row for each batch, and beside it narrow rows that name their head; (2) heads are shuffled by fingerprint and
+grouped by a hash aggregate whose keys include the whole fields, which verifies that they are equal; (3) heads that are
+themselves copies hand their group's first id on to their narrow rows by a hash join, in which no head has more rows
+than a batch holds. The table is read once and nothing is sorted.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.tables import written
+
 LANE = (1 << 56) - 1  # a sum of up to 128 fields fits a signed 64-bit number
 
 
@@ -89,30 +91,33 @@ def _combine(n_fields: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def _combined(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
-    """Heads (fields, fingerprint, _id, _n rows of their batch) and narrow rows (_id, _head), placed by ``_place``."""
+    """Heads (fields, fingerprint, _id, _n rows of their batch) and narrow rows (_id, _head)."""
     texts = ", ".join(f"_f{i} string" for i in range(len(fields)))
-    rows = _keyed(df, row, fields).mapInArrow(_combine(len(fields)), f"{texts}, _a bigint, _b bigint, _id bigint, _n bigint, _head bigint")
-    place = F.when(F.col("_head").isNull(), F.xxhash64("_a", "_b")).otherwise(F.xxhash64("_head"))
-    return rows.withColumn("_place", place).repartition("_place")
+    return _keyed(df, row, fields).mapInArrow(_combine(len(fields)), f"{texts}, _a bigint, _b bigint, _id bigint, _n bigint, _head bigint")
+
+
+def _heads(combined: DataFrame) -> DataFrame:
+    return combined.where("_head is null").withColumn("_place", F.xxhash64("_a", "_b")).repartition("_place")
 
 
-def _grouped(combined: DataFrame, n_fields: int) -> DataFrame:
+def _grouped(heads: DataFrame, n_fields: int) -> DataFrame:
     keys = ["_place", "_a", "_b", *[f"_f{i}" for i in range(n_fields)]]
-    return combined.where("_head is null").groupBy(*keys).agg(F.min("_id").alias("first_id"), F.sum("_n").alias("copies"), F.count(F.lit(1)).alias("_heads"))
+    return heads.groupBy(*keys).agg(F.min("_id").alias("first_id"), F.sum("_n").alias("copies"), F.count(F.lit(1)).alias("_heads"))
 
 
 def groups(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
     """One record per group: ``first_id`` and ``copies`` (1 for a record without copies). Null equals null, not ''. An
     empty table has no groups."""
-    return _grouped(_combined(df, row, fields), len(fields)).select("first_id", "copies")
+    return _grouped(_heads(_combined(df, row, fields)), len(fields)).select("first_id", "copies")
 
 
 def copies(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
     """(first_id, copy_id): a row for each record beyond the first of its group; ``row`` must be a unique whole number and
-    not null. Null equals null and nothing else; columns other than those named are ignored."""
-    combined = _combined(df, row, fields)
-    several = _grouped(combined, len(fields)).where("_heads > 1").hint("shuffle_hash").alias("g")
-    heads = combined.where("_head is null").alias("h")
+    not null. Null equals null and nothing else; columns other than those named are ignored. The combined batches are
+    written once into the shared folder, as heads and narrow rows part ways."""
+    combined = written(_combined(df, row, fields), "combined")
+    heads = _heads(combined)
+    several = _grouped(heads, len(fields)).where("_heads > 1 and copies > 1").hint("shuffle_hash").alias("g")
 
     def same(c: str) -> Column:
         # Within a place; written so that it isn't taken for a key of the join, by which both sides would be shuffled again.
@@ -120,9 +125,8 @@ def copies(df: DataFrame, row: str, fields: Sequence[str]) -> DataFrame:
         return F.coalesce(h.between(g, g), h.isNull() & g.isNull())
 
     equal = reduce(Column.__and__, [same(c) for c in ("_a", "_b", *[f"_f{i}" for i in range(len(fields))])])
-    known = heads.join(several, (F.col("h._place") == F.col("g._place")) & equal).where("h._id <> g.first_id").select(F.col("h._id").alias("_local"), F.col("h._n").alias("_n"), "first_id")
-    handed = known.where("_n > 1").select("_local", "first_id", F.xxhash64("_local").alias("_at")).hint("shuffle_hash")
-    narrow = combined.where("_head is not null").select("_place", "_head", "_id")
-    mine = (F.col("_place") == F.col("_at")) & F.col("_head").between(F.col("_local"), F.col("_local"))
-    rest = narrow.join(handed, mine, "left").select(F.coalesce("first_id", "_head").alias("first_id"), F.col("_id").alias("copy_id"))
-    return known.select("first_id", F.col("_local").alias("copy_id")).unionByName(rest)
+    known = heads.alias("h").join(several, (F.col("h._place") == F.col("g._place")) & equal)
+    handed = known.select(F.col("h._id").alias("_local"), "first_id").where(F.col("_local") > F.col("first_id"))
+    narrow = combined.where("_head is not null").select("_head", "_id")
+    rest = narrow.join(handed.hint("shuffle_hash"), F.col("_head") == F.col("_local"), "left")
+    return handed.select("first_id", F.col("_local").alias("copy_id")).unionByName(rest.select(F.coalesce("first_id", "_head").alias("first_id"), F.col("_id").alias("copy_id")))
