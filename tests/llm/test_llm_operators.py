@@ -83,6 +83,25 @@ def test_canonical_quick_check_is_safe():
             assert beyond.search(t), hex(n)
 
 
+def test_canonical_equivalence_of_all_characters():
+    for n in range(0x80, 0x32000):
+        if 0xD800 <= n <= 0xDFFF or unicodedata.category(chr(n)) == "Cn":
+            continue
+        for text in (chr(n), f"a{chr(n)}b"):
+            once = canonical.canonical(text)
+            assert {canonical.canonical(unicodedata.normalize(form, text)) for form in ("NFC", "NFD")} == {once}, hex(n)
+            assert canonical.canonical(once) == once, hex(n)
+
+
+def test_canonical_forms(spark):
+    pairs = {"Ⅳ": "IV", "ｶﾞ": "ガ", "Å": "Å", "Ω": "Ω", "한": "한", "𝐇𝐞𝐥𝐥𝐨": "Hello", "ﻼ": "لا", "тhéâtre": "тhéâtre", "cοncerτ": "concert", "օpera": "opera", "Ꭺpollo": "Apollo", "क़": "क़"}
+    same = ["②", "m²", "½", "kΩ", "œuvre", "Концерт", "…", "क़"[:1]]
+    df = spark.createDataFrame([(t,) for t in (*pairs, *same)], "t string")
+    got = {r.t: r.c for r in df.select("t", canonical.canonical_form(F.col("t")).alias("c")).collect()}
+    assert all(got[t] == unicodedata.normalize("NFC", w) for t, w in pairs.items()), got
+    assert all(got[t] == t for t in same)
+
+
 # p4
 
 
@@ -111,6 +130,23 @@ def test_multiset_brute_force(spark):
     assert multiset.copies(df.limit(0), "k", ["v", "s", "t"]).count() == 0
 
 
+def test_multiset_hot_fingerprint(spark):
+    """A third of all rows are one record, over many batches; their order is mixed."""
+    rows = [((i * 7919) % 9_973, *(("Hot !", "H") if i % 3 == 0 else (f"t{i % 4_001}", None))) for i in range(9_973)]
+    df = spark.createDataFrame(rows, "k bigint, v string, t string").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {(x.first_id, x.copy_id) for x in multiset.copies(df, "k", ["v", "t"]).collect()}
+        counted = {x.first_id: x.copies for x in multiset.groups(df, "k", ["v", "t"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    members = {}
+    for k, v, t in rows:
+        members.setdefault((v, t), []).append(k)
+    assert got == {(min(ks), k) for ks in members.values() for k in ks if k != min(ks)}
+    assert counted == {min(ks): len(ks) for ks in members.values()}
+
+
 def test_multiset_order_and_collisions(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a", "b"), (2, "b", "a"), (3, "a", "b"), (4, "b", "a"), (5, "a", None), (6, None, "a")], "k bigint, v string, t string")
     assert {(x.first_id, x.copy_id) for x in multiset.copies(df, "k", ["v", "t"]).collect()} == {(1, 3), (2, 4)}
