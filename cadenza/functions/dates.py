@@ -1,12 +1,16 @@
 """Dates and times written in French, English months, and machine notation.
 
-One native expression: the notations are tried in a fixed order and the first that matches decides. Errors are data.
-The result is struct(start, end, start_min, end_min, year_inferred, weekday, error); times are minutes of the day.
+A folded text is first reduced to its shape: numbers, months and weekdays become one letter each, and all else stays as it
+is written. ``NOTATIONS`` are small expressions over shapes; the first notation whose shape occurs decides, and its
+values are read by their place among the text's numbers and month names. Errors are data. The result is struct(start,
+end, start_min, end_min, year_inferred, weekday, error); times are minutes of the day.
 """
 
 from __future__ import annotations
 
 import datetime
+import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,17 +33,39 @@ MONTHS = (
     ("novembre", "nov", "november"),
     ("decembre", "dec", "december"),
 )
-_MONTH = r"(" + "|".join(sorted({n for names in MONTHS for n in names}, key=lambda n: (-len(n), n))) + r")\.?"
-_WEEKDAY = r"(" + "|".join(WEEKDAYS) + r")\.?"
-_DAY = r"(\d{1,2})(?:er)?"
-_YEAR = r"(?:\s+(\d{4}))?"
-TIME = r"\b(\d{1,2})\s*(?:h|:|heures?)\s*(\d{2})?(?!\d)"
-ISO = r"\b(\d{4})-(\d{2})-(\d{2})(?:[t ](\d{1,2}):(\d{2}))?"
-COMPACT = r"\b(20\d{2})(\d{2})(\d{2})\b"
-NUMERIC = r"\b(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})\b"
-SPAN = rf"\bdu\s+{_DAY}\s+(?:{_MONTH}\s+)?(?:(\d{{4}})\s+)?au\s+{_DAY}\s+{_MONTH}{_YEAR}"
-PAIR = rf"\b{_DAY}\s*(?:&|et|-|–|/)\s*{_DAY}\s+{_MONTH}{_YEAR}"
-SINGLE = rf"(?:\b{_WEEKDAY}\s+)?\b{_DAY}\s+{_MONTH}{_YEAR}"
+
+
+def _month_words() -> dict[str, int]:
+    """Every accepted spelling; a French name of six letters or more may be broken off after its fourth."""
+    words = {n: i for i, names in enumerate(MONTHS, 1) for n in names}
+    for i, (name, *_) in enumerate(MONTHS, 1):
+        if len(name) > 5:
+            words |= {name[:k]: i for k in range(4, len(name))}
+    return words
+
+
+MONTH_WORDS = _month_words()
+MONTH_WORD = rf"\b(?:{'|'.join(sorted(MONTH_WORDS))})\b"
+WEEKDAY_WORD = rf"\b(?:{'|'.join(WEEKDAYS)})\b"
+
+#: Replaced one after another: W a weekday, M a month, C a day in eight digits, Y four digits, D two, S one, N any others.
+#: Folded texts have no capital letters of their own.
+SHAPE = (
+    (WEEKDAY_WORD, "W"), (MONTH_WORD, "M"), (r"(?<!\d)20\d{6}(?!\d)", "C"), (r"(?<!\d)\d{4}(?!\d)", "Y"), (r"(?<!\d)\d\d(?!\d)", "D"), (r"(?<!\d)\d(?!\d)", "S"), (r"\d+", "N"),
+)
+NUMBERS = "CYDSN"
+_DAY, _MONTH_YEAR = "[DS](?:er)?", r"M(?:\.? Y)?"
+#: In the order in which they are looked for.
+NOTATIONS = {
+    "iso": r"\bY-D-D(?:[t ][DS]:D)?",
+    "compact": r"\bC\b",
+    "numeric": r"\b[DS]/[DS]/[YD]\b",
+    "span": rf"\bdu {_DAY}(?: M\.?)?(?: Y)? au {_DAY} {_MONTH_YEAR}",
+    "pair": rf"\b{_DAY} ?(?:[-–/&]|et) ?{_DAY} {_MONTH_YEAR}",
+    "single": rf"(?:\bW\.? )?\b{_DAY} {_MONTH_YEAR}",
+}
+#: A valid clock time: 20h, 20h30, 20 heures, 20:30.
+CLOCK = r"(?<![\p{L}\d_])(?:[01]?\d|2[0-3])\s*(?:h(?:eures?)?|:)\s*(?:[0-5]\d)?(?!\d)"
 
 _RESULT = "struct<start:date,end:date,start_min:int,end_min:int,year_inferred:boolean,weekday:string,error:string>"
 
@@ -48,11 +74,16 @@ def fold(text: Column) -> Column:
     return F.lower(F.btrim(F.regexp_replace(strip_accents(text), r"(?U)\s+", " ")))
 
 
-def _month(name: Column) -> Column:
-    out = None
-    for i, names in enumerate(MONTHS, 1):
-        hit = name.isin(*names)
-        out = F.when(hit, F.lit(i)) if out is None else out.when(hit, F.lit(i))
+def shape(folded: Column) -> Column:
+    for pattern, letter in SHAPE:
+        folded = F.regexp_replace(folded, pattern, letter)
+    return folded
+
+
+def month_number(word: Column) -> Column:
+    out = F.lit(None).cast("int")
+    for i in range(12, 0, -1):
+        out = F.when(word.isin([w for w, m in MONTH_WORDS.items() if m == i]), F.lit(i)).otherwise(out)
     return out
 
 
@@ -61,16 +92,13 @@ def day(y: Column, m: Column, d: Column) -> Column:
     return F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")).try_cast("date")
 
 
-def _groups(text: Column, pattern: str, n: int) -> Column:
-    """Array of the first match's groups, null where the pattern doesn't match; a group that took no part is ''."""
-    return F.when(text.rlike(pattern), F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, n + 1)]))
-
-
 def times_of(text: Column) -> Column:
     """Every valid clock time in the text, as minutes of the day."""
-    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(TIME), F.lit(1)).alias("h"), F.regexp_extract_all(text, F.lit(TIME), F.lit(2)).alias("m"))
-    minutes = F.transform(pairs, lambda p: F.struct(p["h"].cast("int").alias("h"), F.when(p["m"] == "", 0).otherwise(p["m"].try_cast("int")).alias("m")))
-    return F.transform(F.filter(minutes, lambda p: p["h"].between(0, 23) & p["m"].between(0, 59)), lambda p: p["h"] * 60 + p["m"])
+
+    def minutes(clock: Column) -> Column:
+        return let(F.split(clock, "[^0-9]+"), lambda p: F.get(p, F.lit(0)).cast("int") * 60 + F.coalesce(F.nullif(F.get(p, F.lit(1)), F.lit("")).cast("int"), F.lit(0)))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(CLOCK), F.lit(0)), minutes)
 
 
 def parse_times(text: Column) -> Column:
@@ -78,11 +106,15 @@ def parse_times(text: Column) -> Column:
     return let(times_of(text), lambda t: F.struct(F.get(t, F.lit(0)).alias("start_min"), F.get(t, F.lit(1)).alias("end_min")))
 
 
+def weekday_of(d: Column) -> Column:
+    return F.get(F.array(*[F.lit(w) for w in WEEKDAYS]), F.weekday(d))
+
+
 def infer_year(month: Column, dom: Column, today: Column, weekday: Column) -> Column:
     """FN-11: of last, this and next year's such days (on the weekday, if one is named) the first from today, else the
     last; null if there is none."""
     years = F.array(*[F.year(today) + k for k in (-1, 0, 1)])
-    dated = F.filter(F.transform(years, lambda y: day(y, month, dom)), lambda d: d.isNotNull() & (weekday.isNull() | (weekday == "") | (F.get(F.array(*[F.lit(w) for w in WEEKDAYS]), F.weekday(d)) == weekday)))
+    dated = F.filter(F.transform(years, lambda y: day(y, month, dom)), lambda d: d.isNotNull() & (weekday.isNull() | (weekday == "") | (weekday_of(d) == weekday)))
     return let(dated, lambda ds: F.coalesce(F.array_min(F.filter(ds, lambda d: d >= today)), F.array_max(ds)))
 
 
@@ -93,91 +125,145 @@ def _made(start: Column, end: Column, a: Column, b: Column, inferred: Column, we
     )
 
 
+def _occurrence(c: Column, name: str) -> Column:
+    """Where the notation first occurs in the shape: its letters, its numbers and months as written, its own weekday; null
+    where it doesn't."""
+    pattern = NOTATIONS[name]
+    at = F.regexp_instr(c["shape"], F.lit(pattern))
+
+    def read(x: Column) -> Column:
+        letters = lambda text, kinds: F.length(F.regexp_replace(text, f"[^{kinds}]", ""))
+        part = lambda array, kinds: F.slice(array, letters(x["before"], kinds) + 1, letters(x["match"], kinds))
+        return F.struct(
+            F.split(F.regexp_replace(x["match"], f"[^{NUMBERS}]", ""), "").alias("kinds"), part(c["numbers"], NUMBERS).alias("numbers"),
+            part(c["months"], "M").alias("months"), F.get(part(c["weekdays"], "W"), F.lit(0)).alias("weekday"),
+        )
+
+    return F.when(at > 0, let(F.struct(F.left(c["shape"], at - 1).alias("before"), F.regexp_extract(c["shape"], pattern, 0).alias("match")), read))
+
 
 def parse_date(text: Column, today: Column | datetime.date, folded: bool = False) -> Column:
-    """FN-10. ``folded`` texts have been through ``fold`` already (needed inside lambdas, where no Python can run). Null, blank and dateless texts give an error. A date that the calendar lacks lets the next notation try in
-    ISO, compact and numeric notation, and is an error in the others."""
+    """FN-10. ``folded`` texts have been through ``fold`` already (needed inside lambdas, where no Python can run). Null,
+    blank and dateless texts give an error. A date that the calendar lacks lets the next notation try in ISO, compact and
+    numeric notation, and is an error in the others. Month names are whole words."""
     now = F.lit(today) if isinstance(today, datetime.date) else today
     no = F.lit(None)
     error = lambda why: _made(no, no, no, no, no, no, F.lit(why))
 
-    def number(g: Column, i: int) -> Column:
-        return F.get(g, F.lit(i)).try_cast("int")
-
-    def word(g: Column, i: int) -> Column:
-        return F.nullif(F.get(g, F.lit(i)), F.lit(""))
-
     def body(c: Column) -> Column:
-        t, times, wd = c["t"], c["times"], c["wd"]
+        times, named = c["times"], F.get(c["weekdays"], F.lit(0))
         first, second = F.get(times, F.lit(0)), F.get(times, F.lit(1))
 
-        def iso(g: Column) -> Column:
-            d = day(number(g, 0), number(g, 1), number(g, 2))
-            clock = F.when(number(g, 3).between(0, 23) & number(g, 4).between(0, 59), number(g, 3) * 60 + number(g, 4))
-            others = F.filter(F.slice(times, 1, 2), lambda x: x != clock)
-            timed = (
-                F.when(clock.isNull(), error("invalid time"))
-                .when(clock == 0, _made(d, no, F.get(others, F.lit(0)), F.get(others, F.lit(1)), F.lit(False), wd, no))
-                .otherwise(_made(d, no, clock, F.get(others, F.lit(0)), F.lit(False), wd, no))
-            )
-            return F.when(d.isNotNull(), F.when(word(g, 3).isNull(), _made(d, no, first, second, F.lit(False), wd, no)).otherwise(timed))
-
-        def plain(d: Column) -> Column:
-            return F.when(d.isNotNull(), _made(d, no, first, second, F.lit(False), wd, no))
-
-        def numeric(g: Column) -> Column:
-            y = number(g, 2)
-            return plain(day(F.when(y < 100, y + 2000).otherwise(y), number(g, 1), number(g, 0)))
-
-        def span(g: Column) -> Column:
-            m2 = _month(word(g, 4))
-            m1 = F.coalesce(_month(word(g, 1)), m2)
-            y = F.coalesce(number(g, 5), number(g, 2))
-            end = F.when(y.isNotNull(), day(y, m2, number(g, 3))).otherwise(infer_year(m2, number(g, 3), now, no.cast("string")))
-            return let(
-                F.struct(end.alias("end"), m1.alias("m1"), m2.alias("m2")),
-                lambda s: let(
-                    day(F.year(s["end"]) - F.when(s["m1"] <= s["m2"], 0).otherwise(1), s["m1"], number(g, 0)),
-                    lambda start: F.when(start.isNull() | s["end"].isNull(), error("invalid range")).otherwise(_made(start, s["end"], first, second, y.isNull(), wd, no)),
-                ),
-            )
-
-        def pair(g: Column) -> Column:
-            m, y = _month(word(g, 2)), number(g, 3)
-            end = F.when(y.isNotNull(), day(y, m, number(g, 1))).otherwise(infer_year(m, number(g, 1), now, no.cast("string")))
-            return let(
-                end,
-                lambda e: let(day(F.year(e), m, number(g, 0)), lambda s: F.when(s.isNull() | e.isNull(), error("invalid range")).otherwise(_made(s, e, first, second, y.isNull(), wd, no))),
-            )
-
-        def single(g: Column) -> Column:
-            own, m, y = word(g, 0), _month(word(g, 2)), number(g, 3)
-            dated = let(
-                day(y, m, number(g, 1)),
-                lambda d: F.when(d.isNull(), error("invalid date"))
-                .when(own.isNotNull() & (F.get(F.array(*[F.lit(w) for w in WEEKDAYS]), F.weekday(d)) != own), error("weekday mismatch"))
-                .otherwise(_made(d, no, first, second, F.lit(False), own, no)),
-            )
-            named = F.coalesce(own, wd)
-            guessed = let(infer_year(m, number(g, 1), now, named), lambda d: F.when(d.isNull(), error("no such date")).otherwise(_made(d, no, first, second, F.lit(True), named, no)))
-            return F.when(y.isNotNull(), dated).otherwise(guessed)
-
-        return F.coalesce(
-            F.when(t == "", error("empty date text")),
-            let(_groups(t, ISO, 5), iso),
-            let(_groups(t, COMPACT, 3), lambda g: plain(day(number(g, 0), number(g, 1), number(g, 2)))),
-            let(_groups(t, NUMERIC, 3), numeric),
-            *[F.when(t.rlike(p), let(_groups(t, p, n), f)) for p, n, f in ((SPAN, 6, span), (PAIR, 4, pair), (SINGLE, 4, single))],
-            error("no date found"),
-        )
+        def number(x: Column, i: int) -> Column:
+            return F.get(x["numbers"], F.lit(i)).try_cast("int")
+
+        def certain(d: Column) -> Column:
+            return F.when(d.isNotNull(), _made(d, no, first, second, F.lit(False), named, no))
+
+        def iso(x: Column) -> Column:
+            def timed(d: Column) -> Column:
+                clock = F.when(number(x, 3).between(0, 23) & number(x, 4).between(0, 59), number(x, 3) * 60 + number(x, 4))
+                others = F.filter(F.slice(times, 1, 2), lambda t: t != clock)
+                # Midnight is how machines write a day without a time.
+                from_clock = F.when(clock > 0, F.array(clock)).otherwise(F.array().cast("array<int>"))
+                both = F.concat(from_clock, others)
+                return F.when(clock.isNull(), error("invalid time")).otherwise(_made(d, no, F.get(both, F.lit(0)), F.get(both, F.lit(1)), F.lit(False), named, no))
+
+            return let(day(number(x, 0), number(x, 1), number(x, 2)), lambda d: F.when(F.size(x["numbers"]) == 3, certain(d)).when(d.isNotNull(), timed(d)))
+
+        def compact(x: Column) -> Column:
+            n = F.get(x["numbers"], F.lit(0))
+            return certain(day(n.substr(1, 4), n.substr(5, 2), n.substr(7, 2)))
+
+        def numeric(x: Column) -> Column:
+            y = number(x, 2)
+            return certain(day(F.when(y < 100, y + 2000).otherwise(y), number(x, 1), number(x, 0)))
+
+        def worded(x: Column) -> Column:
+            """Days, months and years apart, each in order: a span, a pair or a single day."""
+            pairs = F.arrays_zip(x["kinds"].alias("k"), x["numbers"].alias("n"))
+            of = lambda year: F.transform(F.filter(pairs, lambda p: (p["k"] == "Y") == F.lit(year)), lambda p: p["n"].cast("int"))
+            months = F.transform(x["months"], month_number)
+            return let(F.struct(of(False).alias("days"), of(True).alias("years"), months.alias("months"), x["weekday"].alias("own")), dated)
+
+        def dated(v: Column) -> Column:
+            last_day, last_month, y = F.element_at(v["days"], -1), F.element_at(v["months"], -1), F.try_element_at(v["years"], F.lit(-1))
+            several = F.size(v["days"]) > 1
+            weekday = F.when(~several, F.coalesce(v["own"], F.when(y.isNull(), named)))
+            end = F.when(y.isNull(), infer_year(last_month, last_day, now, weekday)).otherwise(day(y, last_month, last_day))
+
+            def one(d: Column) -> Column:
+                wrong = y.isNotNull() & (weekday_of(d) != weekday)
+                return (
+                    F.when(d.isNull(), F.when(y.isNull(), error("no such date")).otherwise(error("invalid date")))
+                    .when(wrong, error("weekday mismatch")).otherwise(_made(d, no, first, second, y.isNull(), weekday, no))
+                )
+
+            def span(d: Column) -> Column:
+                month = F.get(v["months"], F.lit(0))
+                begin = day(F.year(d) - (month > last_month).cast("int"), month, F.get(v["days"], F.lit(0)))
+                return let(begin, lambda s: F.when(s.isNull() | d.isNull(), error("invalid range")).otherwise(_made(s, d, first, second, y.isNull(), named, no)))
+
+            return let(end, lambda d: F.when(several, span(d)).otherwise(one(d)))
+
+        readers: dict[str, Callable[[Column], Column]] = {"iso": iso, "compact": compact, "numeric": numeric}
+        if_there = lambda read: lambda x: F.when(x.isNotNull(), read(x))
+        machine = [let(_occurrence(c, n), if_there(read)) for n, read in readers.items()]
+        written = F.coalesce(*[_occurrence(c, n) for n in NOTATIONS if n not in readers])
+        return F.coalesce(F.when(c["shape"] == "", error("empty date text")), *machine, let(written, if_there(worded)), error("no date found"))
 
     def context(t: Column) -> Column:
-        return F.struct(t.alias("t"), times_of(t).alias("times"), F.nullif(F.regexp_extract(t, rf"\b{_WEEKDAY}", 1), F.lit("")).alias("wd"))
+        every = lambda pattern: F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        return F.struct(shape(t).alias("shape"), every(r"\d+").alias("numbers"), every(MONTH_WORD).alias("months"), every(WEEKDAY_WORD).alias("weekdays"), times_of(t).alias("times"))
 
     plain_text = F.coalesce(text, F.lit(""))
     return let(plain_text if folded else fold(plain_text), lambda t: let(context(t), body)).cast(_RESULT)
 
 
+_SHAPE = [(re.compile(p, re.A), letter) for p, letter in SHAPE]
+_NOTATIONS = {n: re.compile(p, re.A) for n, p in NOTATIONS.items()}
+
+
+def _calendar_day(y: int, m: int, d: int) -> datetime.date | None:
+    try:
+        return datetime.date(y, m, d)
+    except ValueError:
+        return None
+
+
+def first_day(folded: str, today: datetime.date) -> datetime.date | None:
+    """The first day of a folded text as ``parse_date`` reads it, for code that walks trees outside Spark."""
+    letters = folded
+    for pattern, letter in _SHAPE:
+        letters = pattern.sub(letter, letters)
+    words = {"N": re.findall(r"[0-9]+", folded), "M": re.findall(MONTH_WORD, folded, re.A), "W": re.findall(WEEKDAY_WORD, folded, re.A)}
+
+    def read(m: re.Match, kinds: str, of: str) -> list[str]:
+        at = sum(c in kinds for c in letters[: m.start()])
+        return words[of][at : at + sum(c in kinds for c in m[0])]
+
+    for name, notation in _NOTATIONS.items():
+        if not (m := notation.search(letters)):
+            continue
+        numbers = read(m, NUMBERS, "N")
+        if name in ("iso", "compact", "numeric"):
+            a, b, c = (int(numbers[0][k]) for k in (slice(4), slice(4, 6), slice(6, 8))) if name == "compact" else map(int, numbers[:3])
+            found = _calendar_day(a, b, c) if name != "numeric" else _calendar_day(c + 2000 * (c < 100), b, a)
+            if found:
+                return found
+            continue
+        kinds = [c for c in m[0] if c in NUMBERS]
+        days = [int(n) for n, k in zip(numbers, kinds, strict=True) if k != "Y"]
+        years = [int(n) for n, k in zip(numbers, kinds, strict=True) if k == "Y"]
+        months = [MONTH_WORDS[w] for w in read(m, "M", "M")]
+        weekday = next(iter(read(m, "W", "W") or ([] if years else words["W"])), None) if len(days) == 1 else None
+        candidates = years[-1:] or [today.year - 1, today.year, today.year + 1]
+        ends = [e for y in candidates if (e := _calendar_day(y, months[-1], days[-1])) and weekday in (None, WEEKDAYS[e.weekday()])]
+        end = min((e for e in ends if e >= today), default=max(ends, default=None))
+        return end if len(days) == 1 or end is None else _calendar_day(end.year - (months[0] > months[-1]), months[0], days[0])
+    return None
+
+
 # The strptime directives that have a pattern letter.
 _DIRECTIVES = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%y": "yy", "%b": "MMM", "%B": "MMMM", "%I": "hh", "%p": "a"}
 

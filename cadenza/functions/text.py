@@ -20,8 +20,10 @@ STOPWORDS = ("de", "du", "des", "la", "le", "les", "l", "d", "a", "au", "aux", "
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` evaluated once, however often it is named: the expression stays as small as it is written."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body`` with ``value`` evaluated once, however often it is named: the expression stays as small as it is written.
+    An aggregate over nothing hands its start value to its last step; an array's element would do the same, but works its
+    type out again for every row."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, body)
 
 
 def _latin_table() -> tuple[str, str]:
@@ -140,9 +142,13 @@ def extends_prefix(longer: Column, prefix: Column) -> Column:
     return let(F.struct(title_key(longer).alias("a"), title_key(prefix).alias("b")), lambda s: s["a"].startswith(s["b"]) & (F.length(s["a"]) > F.length(s["b"])))
 
 
+#: A digit before the letter h or a colon.
+A_TIME = r"\d\s*[h:]"
+
+
 def looks_like_time(text: Column) -> Column:
     """FN-17."""
-    return text.rlike(r"\d{1,2}\s*[h:]\s*\d{0,2}")
+    return text.rlike(A_TIME)
 
 
 def absolute_url(base: Column, url: Column) -> Column:

@@ -11,7 +11,7 @@ from cadenza.functions import dates, text
 from cadenza.html import ops
 from cadenza.operators import execute, induce, publish, runs, social, state, validate
 from cadenza.sources import sinks
-from cadenza.tables import load
+from cadenza.tables import load, spread
 
 TODAY = datetime.date(2026, 9, 12)
 SPLIT = datetime.date(2026, 10, 1)
@@ -208,7 +208,7 @@ def _french(day):  # noqa: ANN001, ANN202
 
 
 def _parsed(e: DataFrame, written) -> DataFrame:  # noqa: ANN001
-    return e.select("row_id", dates.parse_date(written, TODAY).alias("p")).select("row_id", F.col("p.start").alias("d1"), F.col("p.end").alias("d2"), F.col("p.start_min").alias("m1"), F.col("p.year_inferred").alias("inferred"), F.col("p.error").alias("problem"))
+    return spread(e.select("row_id", written.alias("w"))).select("row_id", dates.parse_date(F.col("w"), TODAY).alias("p")).select("row_id", F.col("p.start").alias("d1"), F.col("p.end").alias("d2"), F.col("p.start_min").alias("m1"), F.col("p.year_inferred").alias("inferred"), F.col("p.error").alias("problem"))
 
 
 @_query("select row_id, start_date d1, cast(null as date) d2, start_min m1, false inferred, cast(null as varchar) problem from agenda_events where start_date is not null")

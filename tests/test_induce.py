@@ -43,7 +43,7 @@ def test_native_dates_agree(spark):
     texts = [" ".join(r.choice(words) for _ in range(r.randrange(1, 7))) for _ in range(1500)]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", dates.fold(F.col("t")).alias("f"), dates.parse_date(F.col("t"), TODAY)["start"].alias("d"), dates.parse_date(F.col("t"), TODAY)["error"].alias("e")).collect()
     for x in rows:
-        mine = induce.first_day(x.f, TODAY)
+        mine = dates.first_day(x.f, TODAY)
         if x.e in ("weekday mismatch", "invalid time"):
             continue
         assert mine == x.d, (x.t, mine, x.d, x.e)
