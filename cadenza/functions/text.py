@@ -54,6 +54,11 @@ def _without_marks(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn")
 
 
+def folded_text(s: str) -> str:
+    """A text as ``dates.fold`` leaves it, outside Spark."""
+    return " ".join(_without_marks(s).split()).lower()
+
+
 def _compatible(s: str) -> str:
     return unicodedata.normalize("NFKC", s)
 

@@ -1,12 +1,11 @@
-"""Addresses found in a site's scripts, and JSON cut down to its shape."""
+"""Addresses found in a site's scripts, and JSON cut down to its shape."""
 
 from __future__ import annotations
 
 import json
-import re
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROUTE = r"[\"'`(]((?:https?://[\w.-]+)?/[\w./-]*(?:api|v\d|wp-json|agenda|events?|evenements?|programme|seances?)[\w./-]*)"
@@ -53,12 +52,3 @@ def trimmed_json(text: str, most: int) -> str:
         if len(out := json.dumps(sample_json(value, n, 99, 200), ensure_ascii=False)) <= most:
             return out
     return out[:most]
-
-
-def date_snippets(text: Column, most: int = 10, around: int = 70) -> Column:
-    """DOC-18: the surroundings of the dates that a text names, in order, up to ``most``. Windows don't overlap: the text is
-    consumed from left to right."""
-    from cadenza.functions.dates import COMPACT, ISO, NUMERIC, PAIR, SINGLE, SPAN
-
-    any_date = "|".join(f"(?:{re.sub(r'\((?!\?)', '(?:', p)})" for p in (ISO, COMPACT, NUMERIC, SPAN, PAIR, SINGLE))
-    return F.slice(F.regexp_extract_all(text, F.lit(f"(?is).{{0,{around}}}?(?:{any_date}).{{0,{around}}}"), F.lit(0)), 1, most)

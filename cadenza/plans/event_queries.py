@@ -369,21 +369,30 @@ def venue_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _listings(spark: SparkSession, d: str) -> DataFrame:
-    """Listing pages written from the agenda: a page for each source and day."""
+    """Listing pages written from the agenda, a page for each source and day: a list and, for every third row, cards."""
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     e = _events(spark, d).where("title is not null and start_date is not null and trim(title) <> ''")
-    card = F.concat(F.lit('<li class="event" data-row="'), F.col("row_id").cast("string"), F.lit('"><h3>'), esc(F.col("title")), F.lit('</h3><span class="date">'), F.date_format("start_date", "dd/MM/yyyy"), F.lit("</span></li>"))
-    grouped = e.select("source_url", "start_date", F.struct("row_id", card.alias("c")).alias("x")).groupBy("source_url", "start_date").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    return grouped.select(F.concat("source_url", F.lit("#"), F.col("start_date").cast("string")).alias("url"), F.concat(F.lit('<ul class="agenda">'), F.array_join(F.transform("xs", lambda x: x["c"]), ""), F.lit("</ul>")).alias("raw"))
+    row = F.col("row_id").cast("string")
+    entry = F.concat(F.lit('<li class="event"><a href="https://x.example/e/'), row, F.lit('">+</a><h3>'), esc(F.col("title")), F.lit('</h3><span class="date">'), F.date_format("start_date", "dd/MM/yyyy"), F.lit("</span></li>"))
+    card = F.concat(F.lit('<article class="card"><a class="t" href="/c/'), row, F.lit('">'), esc(F.col("title")), F.lit('</a><time datetime="'), F.col("start_date").cast("string"), F.lit('">x</time></article>'))
+    written = e.select("source_url", "start_date", F.struct("row_id", F.when(F.col("row_id") % 3 == 0, card).alias("card"), F.when(F.col("row_id") % 3 != 0, entry).alias("entry")).alias("x"))
+    grouped = written.groupBy("source_url", "start_date").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    parts = lambda c: F.array_join(F.transform("xs", lambda x: x[c]), "")
+    return grouped.select(F.concat("source_url", F.lit("#"), F.col("start_date").cast("string")).alias("url"), F.concat(F.lit('<ul class="agenda">'), parts("entry"), F.lit("</ul>"), parts("card")).alias("raw"))
 
 
-LISTING = execute.HtmlRule(item="ul.agenda > li.event", fields={"title": ops.Field("", "data-row"), "date": ops.Field(".date")})
+LISTING = execute.HtmlRule(item="ul.agenda > li.event", fields={"title": ops.Field("h3"), "date": ops.Field(".date"), "url": ops.Field("a", "href")})
+CARDS = execute.HtmlRule(item="article.card", fields={"title": ops.Field("a.t"), "date": ops.Field("time", "datetime"), "url": ops.Field("a.t", "href")})
 
 
-@_query("select cast(row_id as varchar) title, start_date from agenda_events where title is not null and start_date is not null and trim(title, ' ') <> ''")
+@_query(
+    rf"""with e as (select *, regexp_replace(regexp_replace(title, '^{_WS}+|{_WS}+$', '', 'g'), '{_WS}*(?:\.{{3}}|…){_WS}*$', '') bare from agenda_events where title is not null and start_date is not null and trim(title, ' ') <> '')
+  select bare title, start_date, case when row_id % 3 = 0 then regexp_extract(source_url, '^[a-z]+://[^/]+') || '/c/' || row_id else 'https://x.example/e/' || row_id end url from e where bare <> ''
+  qualify row_number() over (partition by source_url, start_date, lower(bare) order by case when row_id % 3 = 0 then 1 else 0 end, row_id) = 1"""
+)
 def css_items(spark: SparkSession, d: str) -> DataFrame:
-    """EX-2 over the listing pages, the row id standing in for the title."""
-    return execute.apply_rules(_listings(spark, d), [LISTING], TODAY).where("failure is null").select("title", "start_date")
+    """EX-1, EX-2, EX-7 over the listing pages, with two rules and several selectors."""
+    return execute.apply_rules(_listings(spark, d), [LISTING, CARDS], TODAY).where("failure is null").select("title", "start_date", "url")
 
 
 @_query()

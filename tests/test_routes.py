@@ -1,7 +1,9 @@
+import datetime
 import json
 
 from pyspark.sql import functions as F
 
+from cadenza.html import ops
 from cadenza.operators import routes
 
 
@@ -22,6 +24,16 @@ def test_sample_json():
 
 
 def test_snippets(spark):
-    df = spark.createDataFrame([("Bal le 12 octobre 2026 à 20h. " + "x" * 300 + " puis 2026-11-02 fin", ), ("rien",), (None,)], "t string")
-    got = [r.s for r in df.select(routes.date_snippets(F.col("t")).alias("s")).collect()]
-    assert len(got[0]) == 2 and "12 octobre 2026" in got[0][0] and "2026-11-02" in got[0][1] and got[1] == [] and got[2] is None
+    today = datetime.date(2026, 9, 12)
+    df = spark.createDataFrame([("Bal le 12 octobre 2026 à 20h. " + "x" * 300 + " puis 2026-01-02 fin, le 31 févr. 2026",), ("rien",), (None,)], "t string")
+    got = [r.s for r in df.select(ops.snippets_column(F.col("t"), today).alias("s")).collect()]
+    assert [(x.tag, x.day) for x in got[0]] == [("upcoming", "2026-10-12"), ("past", "2026-01-02")] and got[0][0].text.startswith("Bal le 12 octobre 2026 à 20h.") and got[1] == [] and got[2] == []
+    assert ops.date_snippets("le 31 févr. 2026", today)[0][0] == "unparsed"
+
+
+def test_pages():
+    page = '<script type="application/ld+json">{"@type": "Event", "x": [{"@type": "MusicEvent"}]}</script><script type="application/ld+json">{</script><link href="/wp-json/"><a href="/cal?ical=1">c</a><a href="/agenda#x">Le programme</a><a href="/agenda">x</a><a href="https://o.example/agenda">o</a><a href="/contact">c</a><a href="https://www.instagram.com/p/">p</a><a href="https://instagram.com/le.lieu/?hl=fr">i</a><a href="https://www.facebook.com/lelieu/events">f</a><a href="https://www.facebook.com/LeLieu">f</a> 12 octobre 2026'
+    s = ops.page_signals(page, "https://x.example/")
+    assert (s["jsonld_events"], s["wordpress"], s["events_calendar_plugin"], s["dates"], s["ics_links"]) == ("2", "true", "false", "1", "https://x.example/cal?ical=1")
+    assert ops.agenda_links(page, "https://x.example/") == [("https://x.example/agenda", "Le programme", 2)] and len(ops.agenda_links(page, "https://x.example/", same_host=False)) == 3
+    assert ops.social_links(page) == ("le.lieu", "LeLieu") and ops.social_links(None) == (None, None) and ops.agenda_links(None, "") == []
