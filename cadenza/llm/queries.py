@@ -13,7 +13,7 @@ TEXTS = (("agenda_events", "row_id", "title"), ("venues", "id", "location_filter
 
 
 def _cut(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.cut_texts(load(spark, d, "agenda_events"), "row_id", "source_url", "title", "title_completed_from", "title_truncated")
+    return truncation.cut_texts(load(spark, d, "agenda_events"), "row_id", "source_url", "title", "title_completed_from")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

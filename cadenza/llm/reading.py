@@ -2,13 +2,14 @@
 
 Every sentence's level is classified by a regularised linear model over its words and their character n-grams; the
 sentences' distributions, weighted by words and by sentences, are the features of a second, equally small model that
-is calibrated on held-out folds of the labelled documents. Both are trained here, on the driver, from a bounded number
-of labelled documents; scoring is one pass in Arrow batches without a shuffle.
+is calibrated on held-out folds of the labelled documents. Both are trained here, the folds side by side, from a bounded
+number of labelled documents; scoring is one pass in Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import defaultdict
@@ -17,12 +18,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEVELS = 5
 MIN_WORDS = 70
 TRAINING_DOCUMENTS = 1_000  # labelled documents the models are fitted on, the smallest hashes of their ids
+FOLDS = 3  # held out in turn for the calibration
 SUPPORT = 2  # labelled documents in which a feature must stand
 HASHED = 1 << 16
 CACHED_WORDS = 400_000
@@ -185,20 +187,52 @@ class ReadingModel:
         return _softmax(document_features(self.sentence, docs) @ self.theta)
 
 
-def fit(texts: list[str], targets: np.ndarray, folds: int = 3) -> ReadingModel:
-    """targets: a distribution over levels for each text. Always calibrated on held-out folds, as many as there are texts
-    where these are fewer; a single text leaves none to hold out."""
+def _parts(texts: list[str], targets: np.ndarray, folds: int) -> tuple[list[list[list[str]]], np.ndarray, list[list[int]]]:
+    """Documents with words, their targets, and the places held out by each fold; the first fold holds out none."""
     docs = [sentences(t) for t in texts]
     kept = [i for i, d in enumerate(docs) if d]
-    docs, targets = [docs[i] for i in kept], targets[kept]
-    folds = min(folds, len(docs))
-    model = fit_sentences(docs, targets)
-    held = np.zeros((len(docs), 3 * LEVELS + 1))
-    for f in range(folds):
-        rest = [i for i in range(len(docs)) if i % folds != f] or [0]
-        part = [i for i in range(len(docs)) if i % folds == f]
-        held[part] = document_features(fit_sentences([docs[i] for i in rest], targets[rest]), [docs[i] for i in part])
-    return ReadingModel(model, _fit(held, targets, np.ones(len(docs)), 1e-3, 1000))
+    n = min(folds, len(kept))
+    return [docs[i] for i in kept], targets[kept], [[], *([i for i in range(len(kept)) if i % n == f] for f in range(n))]
+
+
+def _fit_part(docs: list[list[list[str]]], targets: np.ndarray, part: list[int]) -> tuple[SentenceModel, np.ndarray]:
+    """The sentence model of the documents outside ``part``, and the features it gives those inside."""
+    out = set(part)
+    rest = [i for i in range(len(docs)) if i not in out] or [0]
+    model = fit_sentences([docs[i] for i in rest], targets[rest])
+    return model, document_features(model, [docs[i] for i in part]) if part else np.zeros((0, 3 * LEVELS + 1))
+
+
+def _calibrated(targets: np.ndarray, parts: list[list[int]], fitted: list[tuple[SentenceModel, np.ndarray]]) -> ReadingModel:
+    held = np.zeros((len(targets), 3 * LEVELS + 1))
+    for part, (_, features) in zip(parts[1:], fitted[1:], strict=True):
+        held[part] = features
+    return ReadingModel(fitted[0][0], _fit(held, targets, np.ones(len(targets)), 1e-3, 1000))
+
+
+def fit(texts: list[str], targets: np.ndarray, folds: int = FOLDS) -> ReadingModel:
+    """targets: a distribution over levels for each text. Always calibrated on held-out folds, as many as there are texts
+    where these are fewer; a single text leaves none to hold out."""
+    docs, targets, parts = _parts(texts, targets, folds)
+    return _calibrated(targets, parts, [_fit_part(docs, targets, p) for p in parts])
+
+
+def fit_on_cluster(spark: SparkSession, texts: list[str], targets: np.ndarray, folds: int = FOLDS) -> ReadingModel:
+    """As ``fit``; the whole model and those of the folds are fitted by a task each, which get the bounded sample by
+    broadcast and send back their models (no more than the known features' weights)."""
+    held = spark.sparkContext.broadcast((texts, targets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for f in b.column(0).to_pylist():
+                docs, wanted, parts = _parts(*held.value, folds)
+                if f < len(parts):
+                    yield pa.RecordBatch.from_arrays([pa.array([f]), pa.array([pickle.dumps(_fit_part(docs, wanted, parts[f]))], pa.binary())], names=["part", "fitted"])
+
+    rows = spark.range(0, folds + 1, 1, folds + 1).mapInArrow(run, "part bigint, fitted binary").collect()
+    docs, wanted, parts = _parts(texts, targets, folds)
+    fitted = [pickle.loads(r.fitted) for r in sorted(rows, key=lambda r: r.part)]  # noqa: S301 - made by the tasks above
+    return _calibrated(wanted, parts, fitted)
 
 
 def label_targets(labels: DataFrame) -> DataFrame:
@@ -210,21 +244,25 @@ def label_targets(labels: DataFrame) -> DataFrame:
     return means.select("doc_id", F.array(*[f"t{k}" for k in range(1, LEVELS + 1)]).alias("target"))
 
 
-def train(documents: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) -> ReadingModel:
+def train(documents: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS) -> ReadingModel | None:
     """Fitted on at most ``limit`` labelled documents, those with the smallest hashes of their ids,
-    each of them whole."""
+    each of them whole. None where no labelled document has words."""
     chosen = label_targets(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
     rows = texts.join(F.broadcast(chosen), "doc_id").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
-    if not rows:
-        raise ValueError("no labelled documents to learn from")
-    return fit([r.text for r in rows], np.array([r.target for r in rows]))
+    if not any(sentences(r.text) for r in rows):
+        return None
+    return fit_on_cluster(documents.sparkSession, [r.text for r in rows], np.array([r.target for r in rows]))
 
 
-def levels(documents: DataFrame, key: str, text: str, model: ReadingModel, min_words: int = MIN_WORDS) -> DataFrame:
+def levels(documents: DataFrame, key: str, text: str, model: ReadingModel | None, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, reading_level, difficulty, p1..p5) of each document of ``min_words`` words (runs of letters and digits)
-    or more; difficulty is the expected level. Null, empty and shorter texts have no row."""
+    or more; difficulty is the expected level. Null, empty and shorter texts have no row, and without a model there is
+    none at all."""
+    schema = "doc_id bigint, reading_level int, difficulty double, " + ", ".join(f"p{i + 1} double" for i in range(LEVELS))
+    if model is None:
+        return documents.sparkSession.createDataFrame([], schema)
     held = documents.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", "reading_level", "difficulty", *[f"p{i + 1}" for i in range(LEVELS)]]
     types = [pa.int64(), pa.int32(), *[pa.float64()] * (LEVELS + 1)]
@@ -247,5 +285,4 @@ def levels(documents: DataFrame, key: str, text: str, model: ReadingModel, min_w
                         keys, docs, chars = [], [], 0
             yield scored(keys, docs)
 
-    schema = "doc_id bigint, reading_level int, difficulty double, " + ", ".join(f"p{i + 1} double" for i in range(LEVELS))
     return documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(run, schema)

@@ -23,7 +23,8 @@ _STARTS = "|".join(sorted({e[:n] for e in ENTITIES for n in range(2, len(e) + 1)
 BROKEN = rf"\ufffd\s*$|&(?:#x?[0-9a-fA-F]{{0,6}}|(?:{_STARTS}))$"
 UNFINISHED = r"(?:[(\[«,:+&/]|\s[-–—])\s*$"
 TOKEN = r"([\p{L}\p{N}]+|\+)"
-MARK_CHARS = 48  # in which a mark is looked for, from the end
+MARK_CHARS = 48  # in which a mark is looked for, from the last sign on
+BLANKS = " \t\r\n\u00a0\u2003\u2007\u2009\u202f\u3000"  # that may follow it, in any number
 SUPPORT = 5  # word pairs seen less often in different texts say nothing about how texts end
 EVIDENCE = 9  # continuations from which an ending can be open
 OPEN, CLOSED = 0.1, 0.3  # share of the occurrences that end a text: below it is open, from it on closed
@@ -35,7 +36,7 @@ LIMIT_OPEN = 0.25  # share of open endings at a limit
 STYLE_OPEN = 0.3  # of a source's dotted texts, for the dots to be its mark of cutting
 
 
-def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | None, said: str | None) -> DataFrame:
+def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | None) -> DataFrame:
     """Row keys, lengths, marks and words. Staged, so that each costly expression is evaluated once, and most of them
     only where a cheap test of the text's end allows a match."""
     raw, tail, stem = F.col("raw"), F.col("tail"), F.col("stem")
@@ -45,15 +46,15 @@ def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | No
         F.col(row).alias("row"),
         F.col(source).alias("source"),
         F.col(text).alias("raw"),
-        F.right(F.col(text), F.lit(MARK_CHARS)).alias("tail"),
+        F.rtrim(F.col(text), F.lit(BLANKS)).alias("body"),
         (F.col(completed).isNotNull() if completed else F.lit(False)).alias("completed"),
-        (F.coalesce(F.col(said), F.lit(False)) if said else F.lit(False)).alias("said"),
     )
+    first = first.withColumn("tail", F.right("body", F.lit(MARK_CHARS)))
     found = first.withColumn("_explicit", F.when(marked, F.nullif(explicit, F.lit("")))).withColumn("_dots", F.when(marked & F.col("_explicit").isNull(), F.nullif(F.regexp_extract(tail, DOTS, 0), F.lit(""))))
     cut = found.select(
-        "row", "source", "raw", "tail", "completed", "said",
+        "row", "source", "raw", "tail", "completed",
         F.when(F.col("_explicit").isNotNull(), F.lit("explicit")).otherwise(F.coalesce(F.btrim("_dots"), F.lit(""))).alias("mark"),
-        F.when(F.coalesce("_explicit", "_dots").isNull(), raw).otherwise(F.left(raw, F.length(raw) - F.length(F.coalesce("_explicit", "_dots")))).alias("stem"),
+        F.when(F.coalesce("_explicit", "_dots").isNull(), F.col("body")).otherwise(F.left("body", F.length("body") - F.length(F.coalesce("_explicit", "_dots")))).alias("stem"),
     )
 
     def opened(a: str, b: str) -> Column:
@@ -63,7 +64,7 @@ def _shaped(df: DataFrame, row: str, source: str, text: str, completed: str | No
     tokens = F.regexp_extract_all(F.lower(canonical_form(stem)), F.lit(TOKEN), F.lit(1))
     partial = tail.contains("\ufffd") & tail.rlike(PARTIAL)
     return cut.select(
-        "row", "source", "completed", "said", "mark",
+        "row", "source", "completed", "mark",
         F.length(raw).alias("chars"),
         F.octet_length(F.when(partial, F.regexp_replace(raw, PARTIAL, "")).otherwise(raw)).alias("bytes"),
         partial.alias("partial"),
@@ -140,7 +141,7 @@ def _judged(shaped: DataFrame) -> DataFrame:
     table = endings(shaped)
     n = F.size("tokens")
     tail = shaped.select(
-        "row", "source", "chars", "bytes", "partial", "mark", "unfinished", "completed", "said",
+        "row", "source", "chars", "bytes", "partial", "mark", "unfinished", "completed",
         "same",
         F.coalesce(F.get("tokens", n - 2), F.lit("")).alias("before"),
         F.get("tokens", n - 1).alias("word"),
@@ -163,7 +164,7 @@ def _judged(shaped: DataFrame) -> DataFrame:
     )
     formula = e2 + F.col("d2")
     always = F.coalesce((formula >= SUPPORT) & (m2 <= 0.02 * formula), F.lit(False))
-    return joined.select("row", "source", "chars", "bytes", "partial", "mark", "unfinished", "completed", "said", "same", ending.alias("ending"), always.alias("always"))
+    return joined.select("row", "source", "chars", "bytes", "partial", "mark", "unfinished", "completed", "same", ending.alias("ending"), always.alias("always"))
 
 
 def limits(judged: DataFrame) -> DataFrame:
@@ -187,14 +188,14 @@ def limits(judged: DataFrame) -> DataFrame:
     )
 
 
-def cut_texts(df: DataFrame, row: str, source: str, text: str, completed: str | None = None, said: str | None = None) -> DataFrame:
+def cut_texts(df: DataFrame, row: str, source: str, text: str, completed: str | None = None) -> DataFrame:
     """(row, source, reason): every text with its reason for being cut, or a null reason.
 
-    ``completed`` names a column that is set where the text was made whole afterwards (never cut), ``said`` a flag of a
-    parser, believed where it is true and never where it is false or null. Null, blank and wordless texts have no row.
+    ``completed`` names a column that is set where the text was made whole afterwards (never cut). What a parser said of a
+    text is disregarded. Null, blank and wordless texts have no row.
     A null source is a source. The judged rows are written once into the shared folder, as they are read three times.
     """
-    judged = written(_judged(_shaped(df, row, source, text, completed, said)), "judged")
+    judged = written(_judged(_shaped(df, row, source, text, completed)), "judged")
     limit = limits(judged).groupBy("source").agg(F.max(F.when(F.col("unit") == "chars", F.col("limit"))).alias("limit_chars"), F.max(F.when(F.col("unit") == "bytes", F.col("limit"))).alias("limit_bytes"))
     limit = small_side(limit, "limits")
     styles = (
@@ -217,7 +218,6 @@ def cut_texts(df: DataFrame, row: str, source: str, text: str, completed: str |
         .when((mark == "") & is_open & at_limit, "limit")
         .when((mark == "") & is_open, "transfer")
         .when((mark == "") & at_limit & (F.col("ending") == "unknown"), "limit")
-        .when(F.col("said"), "said")
     )
     return rows.select("row", F.col("j.source").alias("source"), reason.alias("reason"))
 

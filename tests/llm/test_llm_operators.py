@@ -22,14 +22,14 @@ def test_cut_texts(spark):
     cut = [t[:45] for t in titles(25)]
     rows += [(100 + i, "capped", t, None, None) for i, t in enumerate(cut)]
     rows += [(200, "free", "Concert Zuzu : dialogue entre danse […]", None, None), (201, "free", "Concert Zuzu : dialogue entre danse… Lire la suite", "https://x.example", True), (202, "free", "Zuzu, ou presque...", None, False)]
-    rows += [(203, "free", "Zuzu (concert", None, None), (204, None, "Concert Momo : histoire populaire des luttes ouvri", None, None), (205, "free", None, None, True), (206, "free", "", None, None), (207, "free", "…", None, None), (208, "free", "x" * 50_000, None, None)]
+    rows += [(203, "free", "Zuzu (concert", None, None), (204, None, "Concert Momo : histoire populaire des luttes ouvri", None, None), (205, "free", None, None, True), (206, "free", "", None, None), (207, "free", "…", None, None), (208, "free", "x" * 50_000, None, None), (209, "free", "Concert Zuzu : dialogue entre danse […]" + " " * 90 + "\u00a0\n", None, None)]
     df = spark.createDataFrame(rows, "row_id bigint, s string, t string, c string, said boolean").withColumn("mark", F.lit("m")).withColumn("tokens", F.lit(1))
-    got = {r.row: r.reason for r in truncation.cut_texts(df, "row_id", "s", "t", "c", "said").collect()}
+    got = {r.row: r.reason for r in truncation.cut_texts(df, "row_id", "s", "t", "c").collect()}
     assert {i for i in range(60) if got[i]} == set()
     assert all(got[100 + i] for i in range(len(cut)))
-    assert got[200] == "mark" and got[201] is None and got[202] is None and got[203] == "unfinished" and got[204] == "transfer" and got[208] is None
+    assert got[200] == "mark" and got[201] is None and got[202] is None and got[203] == "unfinished" and got[204] == "transfer" and got[208] is None and got[209] == "mark"
     assert not {205, 206, 207} & set(got)
-    share = {r.source: (r.texts, r.cut) for r in truncation.by_source(truncation.cut_texts(df, "row_id", "s", "t", "c", "said")).collect()}
+    share = {r.source: (r.texts, r.cut) for r in truncation.by_source(truncation.cut_texts(df, "row_id", "s", "t", "c")).collect()}
     assert share["capped"] == (25, 25) and share[None] == (1, 1)
     assert truncation.cut_texts(df.limit(0), "row_id", "s", "t").count() == 0
 
@@ -251,8 +251,9 @@ def test_reading_levels(spark):
     held = [i for i in range(60, 200)]
     assert sum(got[i].reading_level == i % 5 + 1 for i in held) >= 0.9 * len(held)
     assert all(abs(x.p1 + x.p2 + x.p3 + x.p4 + x.p5 - 1) < 1e-6 for x in got.values())
-    with pytest.raises(ValueError):
-        reading.train(documents.select("doc_id", "text"), spark.createDataFrame([], "doc_id bigint, rater string, reading_level int"))
+    nothing = reading.train(documents.select("doc_id", "text"), spark.createDataFrame([], "doc_id bigint, rater string, reading_level int"))
+    empty = reading.levels(documents, "doc_id", "text", nothing)
+    assert nothing is None and empty.count() == 0 and empty.columns == reading.levels(documents, "doc_id", "text", model).columns
 
 
 def test_reading_level_of_long_labelled_documents(spark):
