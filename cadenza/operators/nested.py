@@ -35,7 +35,16 @@ def _name(path: str) -> str:
 
 
 def _scalar(x: object) -> str:
-    return x if isinstance(x, str) else json.dumps(x)
+    """A value as text; half a pair of surrogates, which no text may hold, becomes the replacement character."""
+    return _sound(x) if isinstance(x, str) else json.dumps(x)
+
+
+def _sound(s: str) -> str:
+    return s if s.isascii() else s.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def _no_number(name: str) -> object:
+    raise ValueError(f"{name} is no JSON value")
 
 
 def visit_json(text: str | None) -> Iterator[tuple[str, str, str, str | None, str, list[tuple[str, str]]]]:
@@ -43,7 +52,7 @@ def visit_json(text: str | None) -> Iterator[tuple[str, str, str, str | None, st
     if text is None:
         return
     try:
-        root = json.loads(text)
+        root = json.loads(text, parse_constant=_no_number)
     except (ValueError, RecursionError):
         return
     stack: list[tuple] = [(root, "", "", None, "")]
@@ -51,7 +60,8 @@ def visit_json(text: str | None) -> Iterator[tuple[str, str, str, str | None, st
         x, path, at, parent, parent_at = stack.pop()
         if isinstance(x, dict):
             below, payload = [], []
-            for k, v in x.items():
+            for name, v in x.items():
+                k = _sound(name)
                 if isinstance(v, (dict, list)):
                     below.append((v, f"{path}.{k}" if path else k, at, path, at))
                 elif v is not None:
@@ -65,7 +75,8 @@ def visit_json(text: str | None) -> Iterator[tuple[str, str, str, str | None, st
 
 
 def flatten_json(df: DataFrame, row: str, payload: str) -> DataFrame:
-    """FLAT rows of JSON texts. Null, empty, invalid texts and such nested deeper than the parser goes emit nothing; of
+    """FLAT rows of JSON texts. Null, empty, invalid texts (NaN and Infinity are invalid) and such nested
+    deeper than the parser goes emit nothing; of
     a repeated name the last value counts."""
     schema = pa.schema([("row_id", pa.int64()), *[(n, pa.string()) for n in FLAT.names[1:-1]], ("payload", pa.map_(pa.string(), pa.string()))])
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import title_tokens
+from cadenza.functions.text import overlap, title_tokens
 
 # The preference among kinds of sources.
 SOURCE_RANK = {"json": 0, "html": 1, "facebook": 2, "instagram": 3}
@@ -21,12 +21,18 @@ STRICT, LOOSE = 0.75, 0.5  # token overlap; the loose one where both clock times
 
 
 def islands(df: DataFrame) -> DataFrame:
-    """``df`` with ``island``: the number, within a venue, of its group of intervals that share days."""
+    """``df`` with ``island``: the first day of its group of intervals of a venue that share days.
+
+    No window runs over a venue, which may hold a third of all rows: its rows are reduced to one row for each first day with
+    the latest last day (partial aggregation), the days are walked in order, and the groups' first days are joined back
+    by venue and day."""
     last = F.coalesce("end_date", "start_date")
-    by_venue = Window.partitionBy("venue_id").orderBy("start_date", "uid")
-    before = F.max(last).over(by_venue.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.coalesce(F.col("start_date") > before, F.lit(True)).cast("int")
-    return df.withColumn("_fresh", fresh).withColumn("island", F.sum("_fresh").over(by_venue)).drop("_fresh")
+    days = df.groupBy(F.col("venue_id").alias("_v"), F.col("start_date").alias("_d")).agg(F.max(last).alias("_last"))
+    by_venue = Window.partitionBy("_v").orderBy("_d")
+    before = F.max("_last").over(by_venue.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(F.coalesce(F.col("_d") > before, F.lit(True)), F.col("_d"))
+    numbered = days.select("_v", "_d", first.alias("_first")).withColumn("island", F.max("_first").over(by_venue)).drop("_first")
+    return df.join(numbered, F.col("venue_id").eqNullSafe(F.col("_v")) & (F.col("start_date") == F.col("_d"))).select(*df.columns, "island")
 
 
 def _similar(a: frozenset, b: frozenset, least: float) -> bool:
@@ -81,9 +87,14 @@ def fold_island(items: list[dict]) -> list[tuple[str, str | None, str | None]]:
         if r["range"]:
             by_end[r["end_date"]].append(len(kept))
         kept.append(r)
-    ranges = [k for k in kept if k["range"]]
+    by_token: dict[str, list[int]] = defaultdict(list)
+    for i, k in enumerate(kept):
+        for t in k["t"] if k["range"] else ():
+            by_token[t].append(i)
     for r in kept:
         if not r["range"]:
+            # A similar title shares a word, so only ranges with one of its words are looked at, in their order.
+            ranges = (kept[i] for i in sorted({i for t in r["t"] for i in by_token.get(t, ())}))
             cover = next((k for k in ranges if k["start_date"] <= r["start_date"] <= k["end_date"] and _similar(r["t"], k["t"], STRICT)), None)
             if cover:
                 give(cover, r)
@@ -95,10 +106,9 @@ def published(df: DataFrame) -> DataFrame:
     unique; rows without venue are one venue's, rows without a start date are left out."""
     needed = islands(df.where("start_date is not null").withColumn("tokens", title_tokens(F.col("title"))))
     columns = ["venue_id", "island", "uid", "source_kind", "source_url", "start_date", "end_date", "start_min", "venue_name", "title", "image_source", "tokens"]
-    # Whole islands are gathered into a few groups per shuffle partition, to save a call for each.
-    groups = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.pmod(F.xxhash64("venue_id", "island"), F.lit(groups))
-    return needed.select(*columns, place.alias("_place")).groupBy("_place").applyInPandas(fold_groups, "uid string, folded_into string, image_from string")
+    # A call takes a venue's islands that start in one week: calls are saved, and no group grows with the table.
+    week = F.floor(F.unix_date("island") / 7).cast("int")
+    return needed.select(*columns, week.alias("_week")).groupBy("venue_id", "_week").applyInPandas(fold_groups, "uid string, folded_into string, image_from string")
 
 
 def in_order(df: DataFrame) -> DataFrame:
@@ -121,7 +131,5 @@ def covered_by_ranges(singles: DataFrame, ranges: DataFrame) -> DataFrame:
         F.explode(F.sequence(month(F.col("start_date")), month(F.col("end_date")))).alias("rm"),
     )
     single = singles.where("end_date is null or end_date <= start_date").select("uid", "venue_id", "start_date", title_tokens(F.col("title")).alias("t"), month(F.col("start_date")).alias("m"))
-    from cadenza.functions.text import overlap
-
     hit = (F.col("venue_id") == F.col("rv")) & (F.col("m") == F.col("rm")) & F.col("start_date").between(F.col("rs"), F.col("re"))
     return single.join(wide, hit).where(overlap(F.col("t"), F.col("rt")) >= STRICT).groupBy("uid").agg(F.min(F.struct("rs", "range_uid")).alias("b")).select("uid", "b.range_uid")

@@ -93,22 +93,47 @@ def actor_result(items: Column) -> Column:
     return F.struct(good.alias("usable"), F.when((F.size(good) == 0) & (F.size(bad) > 0), F.get(bad, F.lit(0))["error"]).alias("error"))
 
 
-def posts_request(handle: Column, since: Column, limit: int) -> Column:
+def instagram_request(profile: Column, since: Column, limit: int) -> Column:
     """SRC-9: an actor's input as JSON."""
-    return F.to_json(F.struct(F.array(handle).alias("directUrls"), since.cast("string").alias("onlyPostsNewerThan"), F.lit(limit).alias("resultsLimit")))
+    fixed = [F.lit("posts").alias("resultsType"), F.lit(limit).alias("resultsLimit"), since.cast("string").alias("onlyPostsNewerThan"), F.lit(False).alias("addParentData")]
+    return F.to_json(F.struct(F.array(profile).alias("directUrls"), *fixed))
+
+
+def facebook_posts_request(page: Column, since: Column, limit: int) -> Column:
+    """SRC-9."""
+    start = F.array(F.struct(page.alias("url"))).alias("startUrls")
+    return F.to_json(F.struct(start, F.lit(limit).alias("resultsLimit"), F.lit(False).alias("captionText"), since.cast("string").alias("onlyPostsNewerThan")))
+
+
+def facebook_events_request(page: Column, limit: int) -> Column:
+    """SRC-9: of the page's upcoming events."""
+    return F.to_json(F.struct(F.array(F.concat(F.rtrim(page, F.lit("/")), F.lit("/upcoming_hosted_events"))).alias("startUrls"), F.lit(limit).alias("maxEvents")))
+
+
+def _account(value: Column, site: str, name: str) -> Column:
+    """The account named by an address of the site, or the value itself without an @ before and slashes around it."""
+    linked = F.regexp_extract(value, rf"(?i){site}\.com/({name})", 1)
+    bare = F.btrim(F.ltrim(F.btrim(value), F.lit("@")), F.lit("/"))
+    return F.btrim(F.when(linked != "", linked).otherwise(bare), F.lit("/"))
 
 
 def instagram_handle(value: Column) -> Column:
-    """SRC-14: an address or @name as the account's address; null for addresses of posts and the like."""
-    name = F.regexp_extract(value, r"(?i)^\s*(?:https?://)?(?:www\.)?(?:instagram\.com/|@)?([\w.]+)/?(?:[?#].*)?\s*$", 1)
-    return F.when((name != "") & ~F.lower(name).isin(*_IG_PATHS), F.concat(F.lit("https://www.instagram.com/"), name, F.lit("/")))
+    """SRC-14: an address, @name or name as the account's address; null for addresses of posts and the like, and where
+    nothing is named."""
+    name = _account(value, "instagram", r"[A-Za-z0-9_.]+")
+    return F.when((name != "") & ~name.contains("/") & ~F.lower(name).isin(*_IG_PATHS), F.concat(F.lit("https://www.instagram.com/"), name, F.lit("/")))
 
 
 def facebook_handle(value: Column) -> Column:
-    """SRC-14: without the pages behind an account (events, posts, about and photos)."""
-    bare = F.regexp_replace(F.trim(value), r"(?i)^(?:https?://)?(?:www\.|m\.|fr-fr\.)?(?:facebook\.com/)?@?", "")
-    name = F.regexp_extract(F.regexp_replace(bare, r"(?i)/(?:events|posts|about|photos|upcoming_hosted_events)\b.*$", ""), r"^([\w.\-]+(?:/[\w.\-]+)?)/?", 1)
-    return F.when(name != "", F.concat(F.lit("https://www.facebook.com/"), name))
+    """SRC-14: as above; one page behind the account (its events, posts or about page) is taken off."""
+    name = F.regexp_replace(_account(value, "facebook", r"[^?#\s]+"), r"/(?:events|upcoming_hosted_events|past_hosted_events|posts|about)$", "")
+    return F.when(name != "", F.concat(F.lit("https://www.facebook.com/"), name, F.lit("/")))
+
+
+def last_ok_after(previous: Column, fetched_ok: Column, pending: Column, today: datetime.date) -> Column:
+    """ST-9: the day from which the next fetch counts: today after a good fetch, but what it was before where posts were
+    deferred or not available (``pending`` of them), so that they are asked for again."""
+    return F.when(F.coalesce(fetched_ok, F.lit(False)) & (F.coalesce(pending, F.lit(0)) == 0), F.lit(today)).otherwise(previous)
 
 
 def venue_sources(venues: DataFrame, discovered: DataFrame) -> DataFrame:

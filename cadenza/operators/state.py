@@ -104,6 +104,12 @@ def without_orphans(bookkeeping: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def stalest_first(sources: DataFrame, checked: str, budget: int) -> DataFrame:
-    """ST-8: a source's place in the queue (never checked first), and whether the budget reaches it."""
-    ranked = sources.withColumn("place", F.row_number().over(Window.orderBy(F.col(checked).asc_nulls_first(), "source_url")))
-    return ranked.withColumn("deferred", F.col("place") > budget)
+    """ST-8: a source's place in the queue (never checked first, then by address), and whether the budget reaches it. Sources
+    are counted by day of their last check; a place is the days before plus the place within the day, so that the only
+    window over everything has a row for each day."""
+    by_day = sources.groupBy(F.col(checked).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.orderBy(F.col("_day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = by_day.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy(checked).orderBy("source_url"))
+    ranked = sources.withColumn("_place", within).join(offsets, F.col(checked).eqNullSafe(F.col("_day")))
+    return ranked.select(*sources.columns, (F.col("_place") + F.col("_before")).cast("int").alias("place")).withColumn("deferred", F.col("place") > budget)

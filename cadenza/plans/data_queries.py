@@ -88,8 +88,18 @@ _LEAVES = rf"""select table_name, row_id, trim(regexp_replace(regexp_replace(ful
   from (select s.table_name, s.row_id, t.fullkey, t.atom from ({_TREES}) s, json_tree(s.j) t where t.atom is not null)
   where regexp_matches(regexp_replace(fullkey, '\[[0-9]+\]', '', 'g'), '\.(ticketsInfo\.buyUrl|location\.name|childPosts\.displayUrl|media\.photo_image\.uri)$') and (atom ->> '$') <> ''"""
 
+# Objects of the name ticketsInfo, alone or in arrays, with the key of the object that holds them.
+_TICKETS = rf"""with o as (select s.table_name, s.row_id, t.fullkey, t.value v from ({_TREES}) s, json_tree(s.j) t
+    where t.type = 'OBJECT' and regexp_matches(regexp_replace(t.fullkey, '(\[[0-9]+\])+$', ''), '\.ticketsInfo$')),
+  k as (select *, regexp_replace(regexp_replace(fullkey, '(\[[0-9]+\])+$', ''), '\.ticketsInfo$', '') up from o)
+  select table_name, row_id, trim(regexp_replace(regexp_replace(fullkey, '\[[0-9]+\]', '', 'g'), '^\$\.?', ''), '.') path, array_to_string(regexp_extract_all(fullkey, '\[([0-9]+)\]', 1), '.') positions,
+    trim(regexp_replace(regexp_replace(up, '\[[0-9]+\]', '', 'g'), '^\$\.?', ''), '.') parent_path, array_to_string(regexp_extract_all(up, '\[([0-9]+)\]', 1), '.') parent_positions,
+    v ->> '$.buyUrl' "buyUrl", v ->> '$.price' price, v ->> '$.title' title from k"""
+
 SQL = {
     "p7_found": _LEAVES,
+    "p7_tickets": _TICKETS,
+    "p2_changes": f"with {_LATEST} select snapshot_no, uid, change_kind, case when change_kind = 'changed' then list_filter([{', '.join(f'f{i}' for i in range(len(SNAPSHOT_FIELDS)))}], lambda x: x is not null) else [] end changed_fields {_PAIRS}",
     "p2_found": f"with {_LATEST} select snapshot_no, uid, change_kind {_PAIRS}",
     "p5_found": " union all ".join(_FIRST.format(t=t, c=c) for t, c in MESSAGES),
     "p5_ranges": " union all ".join(_RANGES.format(t=t, c=c) for t, c in MESSAGES),

@@ -156,16 +156,22 @@ _TOKENS = r"list_filter(list_distinct(regexp_extract_all(strip_accents(lower(tit
 
 
 @_query(
-    f"""with s as (select snapshot_no, uid, min(venue_id) venue_id, min(start_date) start_date, max(end_date) end_date, min(title) title from event_snapshots where snapshot_no = 6 group by 1, 2),
-  t as (select *, {_TOKENS} k from s),
-  r as (select * from t where end_date > start_date),
-  p as (select a.uid, r.uid range_uid, r.start_date rs from t a join r on a.venue_id = r.venue_id and a.start_date between r.start_date and r.end_date
+    f"""with s as (select snapshot_no, uid, min(venue_id) venue_id, min(start_date) start_date, max(end_date) end_date, min(title) title from event_snapshots group by 1, 2),
+  u as (select snapshot_no || '/' || uid uid, snapshot_no || '/' || venue_id venue_id, start_date, end_date, title, {_TOKENS} k from s),
+  w as (select venue_id, min(start_date) start_date, max(start_date) end_date, 'run ' || min(uid) uid, min(struct_pack(t := title, k := k)).k k from u where len(k) > 0 group by venue_id, list_min(k)),
+  r as (select venue_id, k, start_date, end_date, uid from u where end_date > start_date union all select venue_id, k, start_date, end_date, uid from w where end_date > start_date),
+  p as (select a.uid, r.uid range_uid, r.start_date rs from u a join r on a.venue_id = r.venue_id and a.start_date between r.start_date and r.end_date
     where (a.end_date is null or a.end_date <= a.start_date) and len(a.k) > 0 and len(r.k) > 0 and len(list_intersect(a.k, r.k)) >= 0.75 * least(len(a.k), len(r.k)))
   select uid, range_uid from p qualify row_number() over (partition by uid order by rs, range_uid) = 1"""
 )
 def range_contains(spark: SparkSession, d: str) -> DataFrame:
-    s = load(spark, d, "event_snapshots").where("snapshot_no = 6").groupBy("uid").agg(F.min("venue_id").alias("venue_id"), F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"), F.min("title").alias("title"))
-    return publish.covered_by_ranges(s, s)
+    """JN-8 in every delivery of the events: the ranges are those published, and those that run from the first to the last day
+    on which a venue has titles with the same first word in the alphabet."""
+    s = load(spark, d, "event_snapshots").groupBy("snapshot_no", "uid").agg(F.min("venue_id").alias("venue_id"), F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"), F.min("title").alias("title"))
+    u = s.select(F.concat_ws("/", "snapshot_no", "uid").alias("uid"), F.when(F.col("venue_id").isNotNull(), F.concat_ws("/", "snapshot_no", "venue_id")).alias("venue_id"), "start_date", "end_date", "title")
+    titled = u.withColumn("k", F.array_min(text.title_tokens(F.col("title")))).where("k is not null").groupBy("venue_id", "k")
+    spans = titled.agg(F.min("start_date").alias("start_date"), F.max("start_date").alias("end_date"), F.concat(F.lit("run "), F.min("uid")).alias("uid"), F.min("title").alias("title")).select(*u.columns)
+    return publish.covered_by_ranges(u, u.unionByName(spans))
 
 
 _KEY = r"strip_accents(lower(trim(regexp_replace(replace(replace(title, '…', '...'), '’', ''''), '\s+', ' ', 'g'))))"
@@ -219,15 +225,17 @@ def date_parse_fr(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    """select row_id, start_date d1, case when row_id % 4 = 3 then coalesce(case when end_date >= start_date then end_date end, start_date) end d2, cast(null as int) m1, false inferred, cast(null as varchar) problem
-  from agenda_events where start_date is not null and (row_id % 4 <> 3 or end_date is null or year(end_date) = year(start_date))"""
+    """with e as (select row_id, start_date, case when end_date >= start_date then end_date else start_date end last_day from agenda_events where start_date is not null),
+  r as (select *, try_cast(format('{:04d}-{:02d}-{:02d}', year(last_day) - case when month(start_date) > month(last_day) then 1 else 0 end, month(start_date), day(start_date)) as date) begun from e)
+  select row_id, case when row_id % 4 <> 3 then start_date else begun end d1, case when row_id % 4 = 3 and begun is not null then last_day end d2, cast(null as int) m1,
+    case when row_id % 4 = 3 and begun is null then null else false end inferred, case when row_id % 4 = 3 and begun is null then 'invalid range' end problem from r"""
 )
 def date_parse_formats(spark: SparkSession, d: str) -> DataFrame:
     day, k = F.col("start_date"), F.col("row_id") % 4
     last = F.coalesce(F.when(F.col("end_date") >= day, F.col("end_date")), day)
     span = F.concat(F.lit("du "), F.dayofmonth(day).cast("string"), F.lit(" "), F.get(F.array(*[F.lit(m) for m in _FR_MONTHS]), F.month(day) - 1), F.lit(" au "), F.dayofmonth(last).cast("string"), F.lit(" "), F.get(F.array(*[F.lit(m) for m in _FR_MONTHS]), F.month(last) - 1), F.lit(" "), F.year(last).cast("string"))
     written = F.when(k == 0, day.cast("string")).when(k == 1, F.date_format(day, "yyyyMMdd")).when(k == 2, F.date_format(day, "d/M/yy")).otherwise(span)
-    return _parsed(_events(spark, d).where("start_date is not null and (row_id % 4 <> 3 or end_date is null or year(end_date) = year(start_date))"), written)
+    return _parsed(_events(spark, d).where("start_date is not null"), written)
 
 
 @_query(
@@ -263,10 +271,13 @@ def shared_value_rule(spark: SparkSession, d: str) -> DataFrame:
     return execute.drop_shared_images(_events(spark, d), "venue_id", "source_url").select("row_id", "image")
 
 
-@_query(f"""select count(*) events, count(*) filter (where coalesce(end_date, start_date) >= {_T}) events_upcoming, count(*) filter (where first_seen = last_seen) events_new, count(distinct source_url) sources,
+@_query(f"""select count(*) events, count(*) filter (where coalesce(end_date, start_date) >= {_T}) events_upcoming, count(distinct uid) filter (where uid not in (select uid from agenda_events where uid is not null and (date '1970-01-01' + cast(floor(epoch(ingested_at) / 86400) as int)) < {_T})) events_new, count(distinct source_url) sources,
   count(distinct venue_id) venues, count(*) filter (where verifier = 'accept') verified, count(*) filter (where title_truncated) titles_truncated, count(image) images from agenda_events""")
 def run_report(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.run_report(_events(spark, d), TODAY)
+    """AG-2: new are the events that no row before the day has."""
+    e = _events(spark, d)
+    day = F.date_from_unix_date(F.floor(F.unix_micros("ingested_at") / F.lit(86_400_000_000)).cast("int"))
+    return sinks.run_report(e, TODAY, e.where(day < F.lit(TODAY)))
 
 
 @_query("select verifier, source_kind, count(*) n, count(distinct uid) uids, min(start_date) first_day from agenda_events group by 1, 2")
@@ -310,12 +321,19 @@ def stalest_first(spark: SparkSession, d: str) -> DataFrame:
     return state.stalest_first(s, "seen", 100).select("source_url", "place", "deferred", social.fetch_window(F.col("seen"), TODAY).alias("since"), social.is_due(F.lit("instagram"), F.col("seen"), TODAY).alias("due"))
 
 
-@_query("""with a as (select venue_id, list(distinct title) t from event_snapshots where snapshot_no = 5 and title is not null group by 1), b as (select venue_id, list(distinct title) t from event_snapshots where snapshot_no = 6 and title is not null group by 1)
-  select venue_id, round(case when a.t is null and b.t is null then 1 else len(list_intersect(coalesce(a.t, []), coalesce(b.t, []))) / len(list_distinct(list_concat(coalesce(a.t, []), coalesce(b.t, [])))) end, 6) agreement from a full join b using (venue_id)""")
+@_query("""with s as (select distinct snapshot_no, venue_id, title from event_snapshots where title is not null), g as (select snapshot_no, venue_id, list(title) t from s group by 1, 2),
+  n as (select snapshot_no from s group by 1), a as (select g.snapshot_no + 1 snapshot_no, venue_id, t from g where snapshot_no + 1 in (select snapshot_no from n)), b as (select * from g where snapshot_no - 1 in (select snapshot_no from n))
+  select coalesce(a.snapshot_no, b.snapshot_no) snapshot_no, coalesce(a.venue_id, b.venue_id) venue_id, round(len(list_intersect(coalesce(a.t, []), coalesce(b.t, []))) / len(list_distinct(list_concat(coalesce(a.t, []), coalesce(b.t, [])))), 6) agreement
+  from a full join b on a.snapshot_no = b.snapshot_no and a.venue_id is not distinct from b.venue_id""")
 def jaccard_agreement(spark: SparkSession, d: str) -> DataFrame:
-    """Title sets of two snapshots by venue, from one aggregate of distinct titles: shared over all."""
-    s = load(spark, d, "event_snapshots").where("snapshot_no in (5, 6) and title is not null").groupBy("venue_id", "title").agg(F.countDistinct("snapshot_no").alias("n"))
-    return s.groupBy("venue_id").agg(F.round(F.sum((F.col("n") == 2).cast("int")) / F.count(F.lit(1)), 6).alias("agreement"))
+    """Title sets of each two consecutive snapshots by venue, from one aggregate of distinct titles: shared over all. A row
+    stands for its own snapshot and, as the one before, for the next."""
+    s = load(spark, d, "event_snapshots").where("title is not null")
+    known = s.select("snapshot_no").distinct()
+    both = s.select("venue_id", "title", F.explode(F.array(F.struct(F.col("snapshot_no").alias("at"), F.lit(2).alias("side")), F.struct((F.col("snapshot_no") + 1).alias("at"), F.lit(1).alias("side")))).alias("x")).select("venue_id", "title", "x.*")
+    pairs = both.join(known, F.col("at") == F.col("snapshot_no"), "left_semi").join(known.select((F.col("snapshot_no") + 1).alias("after")), F.col("at") == F.col("after"), "left_semi")
+    sides = pairs.groupBy("at", "venue_id", "title").agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
+    return sides.groupBy(F.col("at").alias("snapshot_no"), "venue_id").agg(F.round(F.sum((F.col("lo") < F.col("hi")).cast("int")) / F.count(F.lit(1)), 6).alias("agreement"))
 
 
 @_query("select uid, row_id, start_date from agenda_events qualify row_number() over (partition by venue_id order by start_date, coalesce(start_min, 0), row_id) <= 3")
@@ -362,10 +380,64 @@ def facebook_event_rows(spark: SparkSession, d: str) -> DataFrame:
     return social.event_rows(social.facebook_events(load(spark, d, "facebook_events")))
 
 
-@_query()
+_HANDLE = "trim(case when regexp_extract({c}, '(?i){site}\\.com/({name})', 1) <> '' then regexp_extract({c}, '(?i){site}\\.com/({name})', 1) else trim(ltrim(trim({c}, ' '), '@'), '/') end, '/')"
+_FOUND = "(select venue_id id, regexp_replace(lower(coalesce(min(source_url), '')), '^https?://([a-z0-9.-]+).*$', '\\1') site from agenda_events where venue_id is not null group by 1)"
+
+
+@_query(
+    f"""with d as {_FOUND}, v as (select v.id, coalesce(v.instagram, '@' || d.site) i, coalesce(v.facebook, 'https://www.facebook.com/' || d.site || '/events') f from venues v left join d using (id)),
+  h as (select id, {_HANDLE.format(c="i", site="instagram", name="[A-Za-z0-9_.]+")} i, regexp_replace({_HANDLE.format(c="f", site="facebook", name="[^?#[:space:]]+")}, '/(?:events|upcoming_hosted_events|past_hosted_events|posts|about)$', '') f from v),
+  u as (select id, case when i <> '' and i not like '%/%' and lower(i) not in ('p', 'reel', 'reels', 'explore', 'stories', 'accounts', 'tv') then 'https://www.instagram.com/' || i || '/' end i, case when f <> '' then 'https://www.facebook.com/' || f || '/' end f from h)
+  select id venue_id, 'instagram' kind, i handle from u where i is not null union all select id, 'facebook', f from u where f is not null union all select id, 'facebook-events', f from u where f is not null"""
+)
 def venue_sources(spark: SparkSession, d: str) -> DataFrame:
-    v = load(spark, d, "venues")
-    return social.venue_sources(v, v.select(F.col("id").alias("venue_id"), F.lit(None).cast("string").alias("instagram"), F.lit(None).cast("string").alias("facebook")))
+    """SRC-14, SRC-15: a venue's own accounts, else those named after the host of its pages."""
+    site = F.regexp_replace(F.lower(F.coalesce(F.min("source_url"), F.lit(""))), r"^https?://([a-z0-9.-]+).*$", "$1")
+    found = _events(spark, d).where("venue_id is not null").groupBy("venue_id").agg(site.alias("site"))
+    discovered = found.select("venue_id", F.concat(F.lit("@"), "site").alias("instagram"), F.concat(F.lit("https://www.facebook.com/"), "site", F.lit("/events")).alias("facebook"))
+    return social.venue_sources(load(spark, d, "venues"), discovered)
+
+
+@_query()
+def instagram_normalized(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-10, SRC-13 on the times as they were delivered."""
+    return social.instagram_posts(load(spark, d, "instagram_posts"))
+
+
+@_query(
+    rf"""select substr(sha1(concat_ws('|', s.venue_id, {_KEY.replace("title", "s.title")}, cast(s.start_date as varchar))), 1, 12) uid, s.venue_id, v.name venue_name, v.category, s.title, s.start_date, s.end_date, coalesce(s.end_date > s.start_date, false) recurring, {_T} first_seen, v.lat, v.lng
+  from event_snapshots s left join venues v on s.venue_id = v.id where s.title is not null and s.start_date is not null"""
+)
+def event_projection(spark: SparkSession, d: str) -> DataFrame:
+    """EX-11 over the delivered events."""
+    no = lambda c, kind="string": F.lit(None).cast(kind).alias(c)
+    rows = load(spark, d, "event_snapshots").select(
+        "venue_id", "title", no("title_truncated", "boolean"), "start_date", "end_date", "start_min", no("end_min", "int"), "location_name", no("url"), "price", no("summary"), "status",
+        no("event_type"), no("image"), no("evidence"), no("source_url"), no("source_kind"), no("verifier"), no("verifier_reason"),
+    )
+    return execute.to_events(rows, load(spark, d, "venues"), TODAY).select("uid", "venue_id", "venue_name", "category", "title", "start_date", "end_date", "recurring", "first_seen", "lat", "lng")
+
+
+@_query(
+    """with s as (select source_url, source_kind, count(*) items_seen, count(*) filter (where title_truncated) failures, count(*) filter (where location_name is null) undated, count(*) filter (where verifier = 'accept') events, count(distinct venue_id) + 2 last_count from agenda_events group by 1, 2)
+  select source_url || '|' || source_kind doc_url, case when events = 0 and undated = items_seen then 'date selector matches nothing in any item' when failures / items_seen > 0.5 and source_kind = 'html' then failures || '/' || items_seen || ' items failed to parse'
+    when events = 0 and last_count >= 3 then '0 events where the last run had ' || last_count end problem from s where source_url is not null and source_kind is not null"""
+)
+def rule_health(spark: SparkSession, d: str) -> DataFrame:
+    """EX-10 over figures of each source and kind that stand in for those of a run."""
+    e = _events(spark, d).where("source_url is not null and source_kind is not null").withColumn("doc_url", F.concat_ws("|", "source_url", "source_kind"))
+    count = lambda hit: F.count(F.when(hit, 1))
+    s = e.groupBy("doc_url", F.col("source_kind").alias("kind")).agg(
+        F.count(F.lit(1)).alias("items_seen"), count(F.col("title_truncated")).alias("failures"), count(F.col("location_name").isNull()).alias("undated"), count(F.col("verifier") == "accept").alias("events"), (F.countDistinct("venue_id") + 2).alias("last_event_count")
+    ).withColumn("failure_ratio", F.col("failures") / F.col("items_seen"))
+    return execute.health(s.drop("kind", "last_event_count"), s.select("doc_url", "kind", "last_event_count")).select("doc_url", "problem")
+
+
+@_query(f"select source_url, case when max(last_seen) = {_T} and count(*) filter (where verifier = 'uncertain') = 0 then {_T} else min(last_seen) end last_ok from agenda_events group by 1")
+def last_ok(spark: SparkSession, d: str) -> DataFrame:
+    """ST-9: a source seen today moves on, unless some of its rows are pending."""
+    s = _events(spark, d).groupBy("source_url").agg(F.min("last_seen").alias("before"), (F.max("last_seen") == F.lit(TODAY)).alias("ok"), F.count(F.when(F.col("verifier") == "uncertain", 1)).alias("pending"))
+    return s.select("source_url", social.last_ok_after(F.col("before"), F.col("ok"), F.col("pending"), TODAY).alias("last_ok"))
 
 
 def _listings(spark: SparkSession, d: str) -> DataFrame:
@@ -404,16 +476,21 @@ def induced_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    """with a as (select venue_id, title, start_date from event_snapshots where snapshot_no = 5 and venue_id is not null and title is not null and start_date is not null group by all), b as (select venue_id, title, start_date from event_snapshots where snapshot_no = 6 and venue_id is not null and title is not null and start_date is not null group by all),
+    """with s as (select distinct snapshot_no, venue_id, title, start_date from event_snapshots where venue_id is not null and title is not null and start_date is not null), n as (select distinct snapshot_no from s),
+  a as (select (snapshot_no + 1) || '|' || venue_id venue_id, title, start_date from s where snapshot_no + 1 in (select snapshot_no from n)), b as (select snapshot_no || '|' || venue_id venue_id, title, start_date from s where snapshot_no - 1 in (select snapshot_no from n)),
   j as (select coalesce(a.venue_id, b.venue_id) v, coalesce(a.title, b.title) t, a.venue_id is not null ia, b.venue_id is not null ib from a full join b on a.venue_id = b.venue_id and a.title = b.title and a.start_date = b.start_date),
-  s as (select v, t, bool_or(ia) ha, bool_or(ib) hb, count(*) filter (where ia and ib) hit, count(*) filter (where ib) wanted from j group by 1, 2),
-  c as (select v, count(*) filter (where ha and hb) shared, count(*) n, sum(hit) hit, sum(wanted) wanted, count(*) filter (where ha) na, count(*) filter (where hb) nb from s group by 1)
+  s2 as (select v, t, bool_or(ia) ha, bool_or(ib) hb, count(*) filter (where ia and ib) hit, count(*) filter (where ib) wanted from j group by 1, 2),
+  c as (select v, count(*) filter (where ha and hb) shared, count(*) n, sum(hit) hit, sum(wanted) wanted, count(*) filter (where ha) na, count(*) filter (where hb) nb from s2 group by 1)
   select v venue_id, round(case when na = 0 or nb = 0 then 0 else least(shared / n, hit / wanted) end, 6) agreement from c where v is not null"""
 )
 def reader_agreement(spark: SparkSession, d: str) -> DataFrame:
-    """FN-19: the fifth snapshot as read, the sixth as reference, by venue."""
+    """FN-19: each snapshot as read, the next as reference, by snapshot and venue."""
     s = load(spark, d, "event_snapshots").where("venue_id is not null and title is not null and start_date is not null")
-    return induce.agreement(s.where("snapshot_no = 5"), s.where("snapshot_no = 6"), "venue_id")
+    known = s.select("snapshot_no").distinct()
+    keyed = lambda df, n: df.withColumn("_n", n).select("_n", F.concat_ws("|", "_n", "venue_id").alias("venue_id"), "title", "start_date")
+    read = keyed(s, F.col("snapshot_no") + 1).join(known, F.col("_n") == F.col("snapshot_no"), "left_semi")
+    reference = keyed(s, F.col("snapshot_no")).join(known, F.col("_n") == F.col("snapshot_no") + 1, "left_semi")
+    return induce.agreement(read, reference, "venue_id")
 
 
 @_query()
