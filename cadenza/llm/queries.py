@@ -103,3 +103,4 @@ SQL = {
   ig as (select item_id, array_to_string(list_slice(w, p, p + 12), ' ') g from (select item_id, w, unnest(range(1, greatest(len(w) - 11, 1))) p from i) where len(w) >= 13)
   select distinct doc_id, item_id from dg join ig using (g)""",
 }
+SQL["p9_clean"] = f"select doc_id from documents where doc_id not in (select doc_id from ({SQL['p9_found']}))"

@@ -45,7 +45,7 @@ def test_cut_at_bytes(spark):
     rows += [(100 + i, "bytes", t) for i, t in enumerate(cut)] + [(200 + i, "bytes", t) for i, t in enumerate(split)]
     rows += [(300, "bytes", "Zuzu : inconnu de tout le monde ici, qwrtz"), (301, "bytes", "Zuzu : inconnu de tout le monde, qwrt")]
     df = spark.createDataFrame(rows, "row_id bigint, s string, t string")
-    shaped = truncation._shaped(df, "row_id", "s", "t", None, None)
+    shaped = truncation._shaped(df, "row_id", "s", "t", None)
     assert [(r.source, r.limit_bytes) for r in truncation.spikes(shaped).collect() if r.source == "bytes"] == [("bytes", 42)]
     got = {r.row: r.reason for r in truncation.cut_texts(df, "row_id", "s", "t").collect()}
     assert all(got[100 + i] for i in range(30)) and all(got[200 + i] == "unfinished" for i in range(4))
