@@ -1,6 +1,6 @@
 """Publication: one entry for each real-world event, across sources.
 
-Folding is greedy and depends on the order, so a group is folded by one function call; all its predicates need the same
+Folding is greedy and depends on the order, so a group is folded in one place; all its predicates need the same
 venue and intervals that share a day. Groups are therefore islands of overlapping intervals within a venue, not
 whole venues, and inside a group candidates are found by first and last day.
 """
@@ -8,6 +8,7 @@ whole venues, and inside a group candidates are found by first and last day.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -17,6 +18,7 @@ from cadenza.functions.text import overlap, title_tokens
 
 # The preference among kinds of sources.
 SOURCE_RANK = {"json": 0, "html": 1, "facebook": 2, "instagram": 3}
+_FOLDED = ["uid", "folded_into", "image_from"]
 STRICT, LOOSE = 0.75, 0.5  # token overlap; the loose one where both clock times agree
 
 
@@ -39,13 +41,21 @@ def _similar(a: frozenset, b: frozenset, least: float) -> bool:
     return bool(a) and bool(b) and len(a & b) / min(len(a), len(b)) >= least
 
 
-def fold_groups(rows: pd.DataFrame) -> pd.DataFrame:
-    """Many islands at once: (uid, folded_into, image_from) of all their rows."""
-    groups: dict[tuple, list[dict]] = defaultdict(list)
-    for r in rows.to_dict("records"):
-        groups[r["venue_id"], r["island"]].append(r)
-    out = [x for items in groups.values() for x in fold_island(items)]
-    return pd.DataFrame(out, columns=["uid", "folded_into", "image_from"])
+def fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows that come sorted by venue and island, folded island by island: (uid, folded_into, image_from). No more than a
+    batch and the island that goes on from it are held."""
+    held: list[dict] = []
+    last: tuple | None = None
+    for batch in batches:
+        out = []
+        for r in batch.to_dict("records"):
+            if held and (r["venue_id"], r["island"]) != last:
+                out += fold_island(held)
+                held = []
+            last = (r["venue_id"], r["island"])
+            held.append(r)
+        yield pd.DataFrame(out, columns=_FOLDED)
+    yield pd.DataFrame(fold_island(held), columns=_FOLDED)
 
 
 def fold_island(items: list[dict]) -> list[tuple[str, str | None, str | None]]:
@@ -106,9 +116,8 @@ def published(df: DataFrame) -> DataFrame:
     unique; rows without venue are one venue's, rows without a start date are left out."""
     needed = islands(df.where("start_date is not null").withColumn("tokens", title_tokens(F.col("title"))))
     columns = ["venue_id", "island", "uid", "source_kind", "source_url", "start_date", "end_date", "start_min", "venue_name", "title", "image_source", "tokens"]
-    # A call takes a venue's islands that start in one week: calls are saved, and no group grows with the table.
-    week = F.floor(F.unix_date("island") / 7).cast("int")
-    return needed.select(*columns, week.alias("_week")).groupBy("venue_id", "_week").applyInPandas(fold_groups, "uid string, folded_into string, image_from string")
+    placed = needed.select(*columns).repartition("venue_id", "island").sortWithinPartitions("venue_id", "island")
+    return placed.mapInPandas(fold_sorted, "uid string, folded_into string, image_from string")
 
 
 def in_order(df: DataFrame) -> DataFrame:
